@@ -52,8 +52,7 @@ def rank_bin(rank: Column, n: Column | int, bins: int) -> Column:
     """Quantile bin of rank 1..n in integer arithmetic: ceil(bins*(r-1)/(n-1)), at least 1."""
     n = F.lit(n) if isinstance(n, int) else n
     steps = (rank - 1) * bins
-    # -floor(-x/y) is the ceiling in whole numbers; `div` keeps bigint
-    ceiling = F.call_function("floor", (steps + n - 2) / F.greatest(n - 1, F.lit(1))).cast("bigint")
+    ceiling = F.call_function("div", steps + n - 2, F.greatest(n - 1, F.lit(1)))
     return F.greatest(F.lit(1), F.when(n <= 1, F.lit(1)).otherwise(ceiling)).cast("int")
 
 
