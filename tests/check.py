@@ -1,10 +1,11 @@
 """Run registered queries against their SQL: python -m tests.check [sf_dir] [name ...]."""
 
+import os
 import sys
 import time
 
 from custoria.session import local_session
-from tests.compare import connection, differences
+from tests.compare import connection, differences, type_notes
 
 import __spark_entry__ as entry
 
@@ -20,7 +21,8 @@ def main(sf: str, names: list[str]) -> int:
             df = queries[name](spark, sf)
             if name in sqls:
                 problem = differences(df, con, sqls[name])
-                note = "same"
+                types = type_notes(df, con, sqls[name]) if os.environ.get("CHECK_TYPES") else ""
+                note = f"same {types}"
             else:
                 problem, note = None, f"rows {df.count()}"
         except Exception as error:  # report every query, whatever one does
