@@ -6,15 +6,18 @@ columns and say which rows are synthetic.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custoria.constants import SEED
+from custoria.constants import HIGH_CARDINALITY, SEED
 from custoria.functions.columns import hash_order, hash_unit
 from custoria.functions.ranking import row_positions
+from custoria.operators.encoding import listed_values
 from custoria.operators.metrics import classification_metrics, roc_auc
 from custoria.operators.neighbours import nearest
-from custoria.operators.split import class_counts, cut_classes
+from custoria.operators.selection import forest, positive_score
+from custoria.operators.split import class_counts, cut_classes, with_folds
 from custoria.session import materialize
 
 # ---------------------------------------------------------------- reports and weights
@@ -198,7 +201,9 @@ def oversample_smote_mixed(df: DataFrame, categories: list[str], k: int = 5, see
     spreads = minority.agg(*[F.stddev_pop(F.col("features")[i]).alias(f"s{i}") for i in range(width)]).first()
     median = sorted(s or 0.0 for s in spreads)
     middle = (median[(width - 1) // 2] + median[width // 2]) / 2
-    values = {c: sorted(r[0] for r in minority.where(F.col(c).isNotNull()).select(c).distinct().collect()) for c in categories}
+    values = listed_values(minority, categories)
+    if any(len(v) > HIGH_CARDINALITY for v in values.values()):
+        raise ValueError(f"a category column has more than {HIGH_CARDINALITY} values")
     flags: list[Column] = [
         F.when(F.col(c).eqNullSafe(F.lit(v)), F.lit(middle / 2)).otherwise(0.0) for c in categories for v in values[c]
     ]
@@ -248,11 +253,6 @@ def balance_adaptive(df: DataFrame) -> DataFrame:
 
 def balance_cv(df: DataFrame, methods: list[str], folds: int = 5, trees: int = 100, seed: int = SEED) -> DataFrame:
     """Mean and deviation of AUC and F1 per method; only the training folds are balanced."""
-    from pyspark.ml.functions import array_to_vector
-
-    from custoria.operators.selection import forest, positive_score
-    from custoria.operators.split import with_folds
-
     data = materialize(with_folds(df, "id", folds, seed))
     rows = []
     for method in methods:
