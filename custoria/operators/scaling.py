@@ -201,7 +201,7 @@ def apply(df: DataFrame, params: dict[str, dict], method: str) -> DataFrame:
     columns = list(params)
     if method == "normalizer":
         total = sum((F.col(c).cast("double") * F.col(c) for c in columns), F.lit(0.0))
-        norm = F.when(total > 0, F.sqrt(total)).otherwise(1.0)
+        norm = F.when(total == 0, 1.0).otherwise(F.sqrt(total))
         return df.withColumns({c: F.col(c) / norm for c in columns})
     out = {}
     for c, p in params.items():

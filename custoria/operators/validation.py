@@ -60,8 +60,11 @@ def measure_types(df: DataFrame, _as_of) -> dict:
     out = {}
     for c in string_columns(df):
         out[("known", c)] = F.count(c)
-        for kind in ("bigint", "double", "timestamp_ntz"):
+        for kind in ("bigint", "double"):
             out[(kind, c)] = F.count(F.expr(f"try_cast(`{c}` AS {kind})"))
+        # a bare number of four digits would read as a year
+        time = F.expr(f"CASE WHEN try_cast(`{c}` AS DOUBLE) IS NULL THEN try_cast(`{c}` AS TIMESTAMP_NTZ) END")
+        out[("timestamp_ntz", c)] = F.count(time)
     return out
 
 
