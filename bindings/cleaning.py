@@ -270,9 +270,9 @@ def bin_fixed(spark, sf):
     return C.age_group(V.customers(spark, sf)).select("customer_id", "age", "age_group")
 
 
-_DATE_PARTS = """year(transaction_date) AS transaction_year, month(transaction_date) AS transaction_month,
-  day(transaction_date) AS transaction_day, hour(transaction_date) AS transaction_hour,
-  (isodow(transaction_date) - 1) AS transaction_weekday, CAST(isodow(transaction_date) IN (6, 7) AS INT) AS is_weekend"""
+_DATE_PARTS = """CAST(year(transaction_date) AS INT) AS transaction_year, CAST(month(transaction_date) AS INT) AS transaction_month,
+  CAST(day(transaction_date) AS INT) AS transaction_day, CAST(hour(transaction_date) AS INT) AS transaction_hour,
+  CAST(isodow(transaction_date) - 1 AS INT) AS transaction_weekday, CAST(isodow(transaction_date) IN (6, 7) AS INT) AS is_weekend"""
 
 
 @query("date_parts", oracle("transactions", f"SELECT transaction_id, {_DATE_PARTS} FROM transactions"))
@@ -281,7 +281,7 @@ def date_parts(spark, sf):
     return parts.select("transaction_id", *[f"transaction_{p}" for p in ("year", "month", "day", "hour", "weekday")], "is_weekend")
 
 
-_HOURS = "hour(interaction_date) AS interaction_hour, CAST(hour(interaction_date) BETWEEN 9 AND 17 AS INT) AS is_business_hours"
+_HOURS = "CAST(hour(interaction_date) AS INT) AS interaction_hour, CAST(hour(interaction_date) BETWEEN 9 AND 17 AS INT) AS is_business_hours"
 
 
 @query("business_hours", oracle("interactions", f"SELECT interaction_id, {_HOURS} FROM interactions"))

@@ -369,8 +369,8 @@ def top_k_values(spark, sf):
 
 # ---------------------------------------------------------------- projections
 
-TIME = """year(registration_date) AS registration_year, month(registration_date) AS registration_month,
-  quarter(registration_date) AS registration_quarter, (isodow(registration_date) - 1) AS registration_dayofweek,
+TIME = """CAST(year(registration_date) AS INT) AS registration_year, CAST(month(registration_date) AS INT) AS registration_month,
+  CAST(quarter(registration_date) AS INT) AS registration_quarter, CAST(isodow(registration_date) - 1 AS INT) AS registration_dayofweek,
   CASE WHEN isodow(registration_date) IN (6, 7) THEN 1 ELSE 0 END AS registration_is_weekend,
   CASE WHEN month(registration_date) IN (12, 1, 2) THEN 'Winter' WHEN month(registration_date) IN (3, 4, 5) THEN 'Spring'
     WHEN month(registration_date) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END AS registration_season,

@@ -118,15 +118,15 @@ def scaling_report(spark, sf):
 # ---------------------------------------------------------------- encoders
 
 
-@query("encode_label", oracle("customers", "SELECT customer_id, state, dense_rank() OVER (ORDER BY state) - 1 AS state_encoded FROM customers"))
+@query("encode_label", oracle("customers", "SELECT customer_id, state, CAST(dense_rank() OVER (ORDER BY state) - 1 AS INT) AS state_encoded FROM customers"))
 def encode_label(spark, sf):
     return N.encode_label(V.customers(spark, sf).select("customer_id", "state"), "state")
 
 
 @query("encode_ordinal", oracle("interactions", """
 SELECT interaction_id, interaction_type_ordinal, channel_ordinal FROM interactions
-LEFT JOIN (SELECT interaction_type, row_number() OVER (ORDER BY interaction_type) - 1 AS interaction_type_ordinal FROM (SELECT DISTINCT interaction_type FROM interactions)) USING (interaction_type)
-LEFT JOIN (SELECT channel, row_number() OVER (ORDER BY channel) - 1 AS channel_ordinal FROM (SELECT DISTINCT channel FROM interactions WHERE channel IS NOT NULL)) USING (channel)"""))
+LEFT JOIN (SELECT interaction_type, CAST(row_number() OVER (ORDER BY interaction_type) - 1 AS INT) AS interaction_type_ordinal FROM (SELECT DISTINCT interaction_type FROM interactions)) USING (interaction_type)
+LEFT JOIN (SELECT channel, CAST(row_number() OVER (ORDER BY channel) - 1 AS INT) AS channel_ordinal FROM (SELECT DISTINCT channel FROM interactions WHERE channel IS NOT NULL)) USING (channel)"""))
 def encode_ordinal(spark, sf):
     out = N.encode_ordinal(V.interactions(spark, sf), ["interaction_type", "channel"])
     return out.select("interaction_id", "interaction_type_ordinal", "channel_ordinal")

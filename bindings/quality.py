@@ -447,7 +447,7 @@ def _before_after_sql(name: str, raw: str, clean: str, raw_columns: list[str], c
     repeats = lambda t: f"(SELECT count(*) FROM {t}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {t}))"
     return f"""SELECT '{name}' AS dataset, (SELECT count(*) FROM {raw}) AS rows_before, (SELECT count(*) FROM {clean}) AS rows_after,
   {nulls(raw, raw_columns)} AS nulls_before, {nulls(clean, clean_columns)} AS nulls_after, {repeats(raw)} AS duplicates_before,
-  {repeats(clean)} AS duplicates_after, {len(set(clean_columns) - set(raw_columns))} AS columns_added"""
+  {repeats(clean)} AS duplicates_after, {len(set(clean_columns) - set(raw_columns))}::BIGINT AS columns_added"""
 
 
 _RAW_CUSTOMERS = ["customer_id", "registration_date", "age", "gender", "state", "customer_segment", "lifetime_value", "email_verified",

@@ -33,11 +33,15 @@ def exact_quantiles(
     if not columns:
         return {}
     values = df.select([_clean(F.col(f"`{c}`")).alias(f"v{i}") for i, c in enumerate(columns)])
-    counts = values.agg(*[F.count(f"v{i}").alias(f"v{i}") for i in range(len(columns))]).first()
+    long = values.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"v{i}").alias("v")) for i in range(len(columns))])))
+    found = {r["i"]: r["n"] for r in long.where("v is not null").groupBy("i").agg(F.count("*").alias("n")).collect()}
+    counts = [found.get(i, 0) for i in range(len(columns))]
     if max(counts) <= bounded_rows:
-        exprs = [F.percentile(f"v{i}", F.array(*map(F.lit, wanted[c]))).alias(f"v{i}") for i, c in enumerate(columns)]
-        row = values.agg(*exprs).first()
-        return {c: list(row[i]) if row[i] is not None else [None] * len(wanted[c]) for i, c in enumerate(columns)}
+        # one bounded map per column, the columns in parallel
+        every = sorted({q for probabilities in wanted.values() for q in probabilities})
+        picked = long.where("v is not null").groupBy("i").agg(F.percentile("v", F.array(*map(F.lit, every))).alias("q")).collect()
+        by_column = {r["i"]: dict(zip(every, r["q"])) for r in picked}
+        return {c: [by_column[i][q] if i in by_column else None for q in wanted[c]] for i, c in enumerate(columns)}
 
     slots = {}
     for i, c in enumerate(columns):

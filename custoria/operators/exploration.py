@@ -9,13 +9,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from custoria import constants as K
-from custoria.functions.columns import (
-    adjusted_kurtosis, adjusted_skewness, numeric_columns, string_columns, to_long,
-)
+from custoria.functions.columns import numeric_columns, string_columns, to_long
 from custoria.functions.distributions import chi_square_tail, t_two_sided
 from custoria.functions.quantiles import exact_quantiles
 from custoria.operators.profiles import (
-    correlation_table, correlations, duplicate_rows, measure, value_frequencies,
+    correlation_table, correlations_with, duplicate_rows, measure, null_and_distinct_counts, numeric_moments, value_frequencies,
 )
 from custoria.operators.scores import top_k_per_group
 
@@ -25,17 +23,13 @@ MAX_CLASSES = 50
 
 def overview(df: DataFrame) -> DataFrame:
     """Per column: nulls, their share, distinct values and the two warning lists."""
-    numeric, texts = numeric_columns(df), string_columns(df)
-    seen = measure(df, {"rows": F.count(F.lit(1))} | {("nulls", c): F.count_if(F.col(c).isNull()) for c in df.columns}
-                   | {("std", c): F.stddev_samp(F.col(c).cast("double")) for c in numeric})
-    counted = value_frequencies(df, df.columns).groupBy("feature").agg(F.count("*").alias("n"))
-    distinct = {r["feature"]: r["n"] for r in counted.collect()}
-    n, repeated = seen["rows"], duplicate_rows(df)
+    texts, spreads = string_columns(df), numeric_moments(df, numeric_columns(df), ("std",))
+    counts, n, repeated = null_and_distinct_counts(df, df.columns), df.count(), duplicate_rows(df)
     rows = []
     for c in df.columns:
-        std, unique = seen.get(("std", c)), distinct.get(c, 0)
+        std, (known, unique) = spreads.get(c, {}).get("std"), counts[c]
         rows.append((
-            c, n, repeated, seen[("nulls", c)], 100.0 * seen[("nulls", c)] / n if n else 0.0, unique,
+            c, n, repeated, n - known, 100.0 * (n - known) / n if n else 0.0, unique,
             std is not None and std < K.MIN_STDDEV, c in texts and unique > 0.5 * n,
         ))
     return df.sparkSession.createDataFrame(
@@ -60,22 +54,13 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
 def numeric_profile(df: DataFrame, columns: list[str] | None = None, target: str | None = None, limit: int = 50) -> DataFrame:
     """Moments, quartiles, zeros and distinct values of the first ``limit`` numeric columns."""
     columns = (columns or numeric_columns(df, {target}))[:limit]
-    stats = {}
-    for c in columns:
-        v = F.col(c).cast("double")
-        stats |= {
-            ("mean", c): F.avg(v), ("std", c): F.stddev_samp(v), ("min", c): F.min(v), ("max", c): F.max(v),
-            ("skewness", c): adjusted_skewness(v), ("kurtosis", c): adjusted_kurtosis(v), ("zeros", c): F.count_if(v == 0),
-        }
-    seen = measure(df, stats)
+    moments = numeric_moments(df, columns, ("mean", "std", "min", "max", "skewness", "kurtosis", "zeros"))
     quartiles = exact_quantiles(df, {c: [0.25, 0.5, 0.75] for c in columns})
-    counted = value_frequencies(df, columns).groupBy("feature").agg(F.count("*").alias("n"))
-    distinct = {r["feature"]: r["n"] for r in counted.collect()}
-    rows = [
-        (c, seen[("mean", c)], quartiles[c][1], seen[("std", c)], seen[("min", c)], seen[("max", c)], quartiles[c][0],
-         quartiles[c][2], seen[("skewness", c)], seen[("kurtosis", c)], seen[("zeros", c)], distinct.get(c, 0))
-        for c in columns
-    ]
+    distinct = null_and_distinct_counts(df, columns)
+    rows = []
+    for c in columns:
+        m, (q1, q2, q3) = moments[c], quartiles[c]
+        rows.append((c, m["mean"], q2, m["std"], m["min"], m["max"], q1, q3, m["skewness"], m["kurtosis"], m["zeros"], distinct[c][1]))
     return df.sparkSession.createDataFrame(
         rows, "feature string, mean double, median double, std double, min double, max double, q25 double, q75 double, "
         "skewness double, kurtosis double, zeros bigint, distinct_values bigint",
@@ -87,7 +72,7 @@ def categorical_profile(df: DataFrame, columns: list[str] | None = None, limit:
     columns = (columns or string_columns(df, {KEY}))[:limit]
     counts = value_frequencies(df, columns)
     nulls = measure(df, {c: F.count_if(F.col(c).isNull()) for c in columns})
-    missing = df.sparkSession.createDataFrame(list(nulls.items()), "feature string, missing bigint")
+    missing = df.sparkSession.createDataFrame(list(nulls.items()), "feature string, missing bigint")  # one row per column
     # partial aggregation leaves one row per task and feature before the final sums
     totals = counts.groupBy("feature").agg(
         F.count("*").alias("distinct_values"), F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode")
@@ -112,15 +97,14 @@ def correlation_pairs(df: DataFrame, columns: list[str] | None = None, threshold
 
 
 def _constant_columns(df: DataFrame, columns: list[str]) -> list[str]:
-    seen = measure(df, {c: F.var_pop(F.col(c).cast("double")) for c in columns})
-    return [c for c in columns if not seen[c]]
+    spreads = numeric_moments(df, columns, ("var_pop",))
+    return [c for c in columns if not spreads[c]["var_pop"]]
 
 
 def target_correlations(df: DataFrame, target: str, columns: list[str] | None = None, k: int = 20) -> list[tuple[str, float]]:
     """Columns by absolute correlation with the target, strongest first."""
     columns = [c for c in columns or numeric_columns(df) if c != target]
-    table = correlations(df, [(c, target) for c in columns])
-    known = [(c, abs(v)) for (c, _), v in table.items() if v is not None]
+    known = [(c, abs(v)) for c, v in correlations_with(df, target, columns).items() if v is not None]
     return sorted(known, key=lambda p: (-p[1], p[0]))[:k]
 
 
@@ -133,8 +117,8 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None, top: int
     """Long-form matrix of the ``top`` columns by variance."""
     columns = columns or numeric_columns(df)
     if len(columns) > top:
-        variance = measure(df, {c: F.var_samp(F.col(c).cast("double")) for c in columns})
-        columns = sorted(columns, key=lambda c: (-(variance[c] or 0.0), c))[:top]
+        spreads = numeric_moments(df, columns, ("var_samp",))
+        columns = sorted(columns, key=lambda c: (-(spreads[c]["var_samp"] or 0.0), c))[:top]
     table = correlation_table(df, columns)
     rows = [(a, b, v) for (a, b), v in table.items()] + [(b, a, v) for (a, b), v in table.items()]
     constant = set(_constant_columns(df, columns))
@@ -199,18 +183,15 @@ def chi_square_tests(df: DataFrame, target: str, columns: list[str] | None = Non
 def t_tests(df: DataFrame, target: str, columns: list[str] | None = None, limit: int = 10) -> DataFrame:
     """Pooled-variance t of the two classes for the first ``limit`` numeric columns, in one job."""
     columns = [c for c in (columns or numeric_columns(df))[:limit] if c != target]
-    stats = {}
-    for c in columns:
-        for label in (0, 1):
-            v = F.when(F.col(target) == label, F.col(c).cast("double"))
-            stats |= {("n", c, label): F.count(v), ("mean", c, label): F.avg(v), ("ss", c, label): F.var_pop(v) * F.count(v)}
-    seen, rows = measure(df, stats), []
+    seen = numeric_moments(df.where(F.col(target).isin(0, 1)), columns, ("count", "mean", "var_pop"), [target])
+    none, rows = {"count": 0, "mean": None, "var_pop": None}, []
     for c in columns:
-        n0, n1 = seen[("n", c, 0)], seen[("n", c, 1)]
+        a, b = seen.get((c, 0), none), seen.get((c, 1), none)
+        n0, n1 = a["count"], b["count"]
         if not n0 or not n1 or n0 + n1 < 3:
             continue
-        pooled = (seen[("ss", c, 0)] + seen[("ss", c, 1)]) / (n0 + n1 - 2)
-        difference = seen[("mean", c, 1)] - seen[("mean", c, 0)]
+        pooled = (a["var_pop"] * n0 + b["var_pop"] * n1) / (n0 + n1 - 2)
+        difference = b["mean"] - a["mean"]
         if pooled <= 0:
             continue
         t = -difference / math.sqrt(pooled * (1 / n0 + 1 / n1))

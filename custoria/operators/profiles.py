@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custoria.functions.columns import to_long
+from custoria.functions.columns import adjusted_kurtosis, adjusted_skewness, to_long
 
-PAIRS_PER_JOB = 120
+PAIRS_PER_JOB = 500
 
 
 def measure(df: DataFrame, measures: dict[str, Column]) -> dict:
@@ -37,27 +37,57 @@ def duplicate_rows(df: DataFrame) -> int:
     return counted.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).first()[0]
 
 
-def pearson(a: str, b: str, complete: bool = False) -> Column:
-    """Correlation over the rows where both are known; null when one side is constant.
+def numeric_moments(df: DataFrame, columns: list[str], wanted=("count", "mean", "std", "min", "max"), by: list[str] = ()) -> dict:
+    """{column: {moment: value}}, or {(column, *by): ...}: long rows with one narrow aggregation.
 
-    ``complete`` says that neither has nulls, so that the variances are shared between pairs.
+    However many columns there are, the generated code stays small, partial sums combine
+    before the shuffle and the columns finish in parallel.
     """
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    if not complete:
-        both = x.isNotNull() & y.isNotNull()
-        x, y = F.when(both, x), F.when(both, y)
+    if not columns:
+        return {}
+    v = F.col("value")
+    rules = {
+        "count": F.count(v), "mean": F.avg(v), "std": F.stddev_samp(v), "var_pop": F.var_pop(v), "var_samp": F.var_samp(v),
+        "min": F.min(v), "max": F.max(v), "skewness": adjusted_skewness(v), "kurtosis": adjusted_kurtosis(v),
+        "zeros": F.count_if(v == 0), "max_abs": F.max(F.abs(v)),
+    }
+    long = to_long(df, columns, "double", by)
+    found = long.groupBy("feature", *by).agg(*[rules[w].alias(w) for w in wanted]).collect()
+    out = {}
+    for r in found:
+        key = (r["feature"], *[r[b] for b in by]) if by else r["feature"]
+        out[key] = {w: r[w] for w in wanted}
+    for c in columns if not by else ():
+        out.setdefault(c, {w: 0 if w in ("count", "zeros") else None for w in wanted})
+    return out
+
+
+def pearson(x: Column, y: Column) -> Column:
+    """Correlation over the rows where both are known; null when one side is constant."""
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
     spread = F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y))
     return F.when(spread > 0, F.try_divide(F.covar_pop(x, y), spread))
 
 
+def correlations_with(df: DataFrame, target: str, columns: list[str]) -> dict[str, float | None]:
+    """Correlation of every column with one target, from one narrow aggregation."""
+    long = to_long(df.withColumn("_y", F.col(target).cast("double")), columns, "double", ["_y"])
+    found = long.groupBy("feature").agg(pearson(F.col("value"), F.col("_y")).alias("r")).collect()
+    return {c: None for c in columns} | {r["feature"]: r["r"] for r in found}
+
+
 def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> dict[tuple[str, str], float | None]:
-    """Pairwise-complete correlations; wide sets run as several aggregations over the same scan."""
-    columns = list(dict.fromkeys(c for p in pairs for c in p))
-    nulls = measure(df, {c: F.count_if(F.col(c).isNull()) for c in columns})
+    """Pairwise-complete correlations, a few pairs at a time over the same scan."""
     out = {}
     for start in range(0, len(pairs), PAIRS_PER_JOB):
         part = pairs[start : start + PAIRS_PER_JOB]
-        out |= measure(df, {(a, b): pearson(a, b, not nulls[a] and not nulls[b]) for a, b in part})
+        rows = F.array(*[
+            F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+            for i, (a, b) in enumerate(part)
+        ])
+        found = df.select(F.inline(rows)).groupBy("pair").agg(pearson(F.col("x"), F.col("y")).alias("r")).collect()
+        out |= {p: None for p in part} | {part[r["pair"]]: r["r"] for r in found}
     return out
 
 
@@ -80,10 +110,16 @@ def all_pairs(columns: list[str]) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
 
 
-def correlation_table(df: DataFrame, columns: list[str], wide: int = 40) -> dict[tuple[str, str], float | None]:
+def correlation_table(df: DataFrame, columns: list[str], wide: int = 30) -> dict[tuple[str, str], float | None]:
     """All pairs; vectors when the set is wide and has no nulls, else pairwise-complete aggregates."""
     if len(columns) > wide:
-        nulls = measure(df, {c: F.count_if(F.col(c).isNull()) for c in columns})
-        if not any(nulls.values()):
+        counts = numeric_moments(df, columns, ("count",))
+        if len({m["count"] for m in counts.values()} | {df.count()}) == 1:
             return dense_correlations(df, columns)
     return correlations(df, all_pairs(columns))
+
+
+def null_and_distinct_counts(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, int]]:
+    """{column: (non-null rows, distinct values)} from one shuffle of (column, value) counts."""
+    counted = value_frequencies(df, columns).groupBy("feature").agg(F.sum("n").alias("known"), F.count("*").alias("values"))
+    return {c: (0, 0) for c in columns} | {r["feature"]: (r["known"], r["values"]) for r in counted.collect()}

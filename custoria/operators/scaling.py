@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from custoria import constants as K
-from custoria.functions.columns import adjusted_skewness, numeric_columns, string_columns
+from custoria.functions.columns import numeric_columns, string_columns
 from custoria.functions.quantiles import BOUNDED_ROWS, exact_quantiles
 from custoria.operators import encoding as N
-from custoria.operators.profiles import measure
+from custoria.operators.profiles import measure, numeric_moments
 
 GRID_POINTS = 1000
 PROBABILITY_EDGE = 1e-7
@@ -29,12 +29,8 @@ def detect_feature_types(df: DataFrame) -> dict[str, str]:
     """{column: type} by name, distinct values and skew; flags and dates have no type."""
     ids = [c for c in df.columns if c.lower() == "id" or c.lower().endswith("_id")]
     numbers, texts = numeric_columns(df, ids), string_columns(df, ids)
-    stats = {}
-    for c in numbers:
-        v = F.col(c).cast("double")
-        stats |= {("skew", c): adjusted_skewness(v), ("other", c): F.count_if(~v.isin(0.0, 1.0)),
-                  ("zeros", c): F.count_if(v == 0), ("ones", c): F.count_if(v == 1)}
-    seen = measure(df, stats)
+    moments = numeric_moments(df, numbers, ("count", "skewness", "min", "max", "zeros"))
+    ones = measure(df, {c: F.count_if(F.col(c) == 1) for c in numbers if moments[c]["min"] == 0 and moments[c]["max"] == 1})
     distinct = N.distinct_counts(df, texts)
     out = {}
     for c in df.columns:
@@ -44,8 +40,8 @@ def detect_feature_types(df: DataFrame) -> dict[str, str]:
             n = distinct[c]
             out[c] = "binary" if n == 2 else "categorical_low" if n <= 10 else "categorical_high" if n <= 50 else "text"
         elif c in numbers:
-            skew = abs(seen[("skew", c)] or 0.0)
-            if not seen[("other", c)] and seen[("zeros", c)] and seen[("ones", c)]:
+            skew = abs(moments[c]["skewness"] or 0.0)
+            if c in ones and ones[c] + moments[c]["zeros"] == moments[c]["count"]:
                 out[c] = "binary"
             else:
                 out[c] = "numeric_normal" if skew < 0.5 else "numeric_skewed" if skew < 2 else "numeric_heavy_tail"
@@ -61,22 +57,17 @@ def _spread(value: float | None) -> float:
 
 
 def fit_standard(df: DataFrame, columns: list[str]) -> dict[str, dict]:
-    seen = measure(df, {(k, c): f(F.col(c).cast("double")) for c in columns for k, f in (("mean", F.avg), ("scale", F.stddev_pop))})
-    return {c: {"mean": seen[("mean", c)] or 0.0, "scale": _spread(seen[("scale", c)])} for c in columns}
+    moments = numeric_moments(df, columns, ("mean", "var_pop"))
+    return {c: {"mean": m["mean"] or 0.0, "scale": _spread(math.sqrt(m["var_pop"] or 0.0))} for c, m in moments.items()}
 
 
 def fit_minmax(df: DataFrame, columns: list[str]) -> dict[str, dict]:
-    seen = measure(df, {(k, c): f(F.col(c).cast("double")) for c in columns for k, f in (("min", F.min), ("max", F.max))})
-    out = {}
-    for c in columns:
-        low, high = seen[("min", c)] or 0.0, seen[("max", c)] or 0.0
-        out[c] = {"mean": low, "scale": _spread(high - low)}
-    return out
+    moments = numeric_moments(df, columns, ("min", "max"))
+    return {c: {"mean": m["min"] or 0.0, "scale": _spread((m["max"] or 0.0) - (m["min"] or 0.0))} for c, m in moments.items()}
 
 
 def fit_maxabs(df: DataFrame, columns: list[str]) -> dict[str, dict]:
-    seen = measure(df, {c: F.max(F.abs(F.col(c).cast("double"))) for c in columns})
-    return {c: {"mean": 0.0, "scale": _spread(seen[c])} for c in columns}
+    return {c: {"mean": 0.0, "scale": _spread(m["max_abs"])} for c, m in numeric_moments(df, columns, ("max_abs",)).items()}
 
 
 def fit_robust(df: DataFrame, columns: list[str], bounded_rows: int = BOUNDED_ROWS) -> dict[str, dict]:
@@ -89,9 +80,8 @@ def fit_robust(df: DataFrame, columns: list[str], bounded_rows: int = BOUNDED_RO
 
 def fit_quantile(df: DataFrame, columns: list[str], points: int = GRID_POINTS, bounded_rows: int = BOUNDED_ROWS) -> dict[str, dict]:
     """Value grid at up to ``points`` even probabilities: exact for bounded tables, else sketched."""
-    counts = measure(df, {c: F.count(c) for c in columns})
-    out = {}
-    wanted = {}
+    counts = {c: m["count"] for c, m in numeric_moments(df, columns, ("count",)).items()}
+    out, wanted = {}, {}
     for c in columns:
         n = max(2, min(points, counts[c]))
         wanted[c] = [i / (n - 1) for i in range(n)]

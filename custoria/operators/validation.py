@@ -12,10 +12,10 @@ from pyspark.sql import types as T
 
 from custoria import constants as K
 from custoria.functions.columns import (
-    TEMPORAL, adjusted_skewness, instant, is_true, numeric_columns, string_columns, temporal_columns,
+    TEMPORAL, instant, is_true, numeric_columns, string_columns, temporal_columns,
 )
 from custoria.functions.quantiles import exact_quantiles
-from custoria.operators.profiles import duplicate_rows, measure, value_frequencies
+from custoria.operators.profiles import duplicate_rows, measure, null_and_distinct_counts, numeric_moments
 
 CHECK_SCHEMA = (
     "dataset string, check_name string, passed boolean, severity string, message string, value double, "
@@ -23,6 +23,12 @@ CHECK_SCHEMA = (
 )
 
 
+# Texts that may read as a whole number, a number or a time.
+WHOLE = "^ *[+-]?[0-9]+ *$"
+NUMBER = "^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)? *$"
+TIME = "^ *[0-9]{4}-[0-9]{1,2}(-[0-9]{1,2}.*)?$"
+
+
 @dataclass
 class Subject:
     """The dataset under test and what has been measured of it."""
@@ -60,11 +66,10 @@ def measure_types(df: DataFrame, _as_of) -> dict:
     out = {}
     for c in string_columns(df):
         out[("known", c)] = F.count(c)
-        for kind in ("bigint", "double"):
-            out[(kind, c)] = F.count(F.expr(f"try_cast(`{c}` AS {kind})"))
-        # a bare number of four digits would read as a year
-        time = F.expr(f"CASE WHEN try_cast(`{c}` AS DOUBLE) IS NULL THEN try_cast(`{c}` AS TIMESTAMP_NTZ) END")
-        out[("timestamp_ntz", c)] = F.count(time)
+        # shapes first: a cast that fails costs far more than a pattern that does not match
+        out[("bigint", c)] = F.count(F.expr(f"CASE WHEN `{c}` RLIKE '{WHOLE}' THEN try_cast(`{c}` AS BIGINT) END"))
+        out[("double", c)] = F.count(F.expr(f"CASE WHEN `{c}` RLIKE '{NUMBER}' THEN try_cast(`{c}` AS DOUBLE) END"))
+        out[("timestamp_ntz", c)] = F.count(F.expr(f"CASE WHEN `{c}` RLIKE '{TIME}' THEN try_cast(`{c}` AS TIMESTAMP_NTZ) END"))
     return out
 
 
@@ -245,16 +250,8 @@ def judge_imbalance(s: Subject):
 # ---------------------------------------------------------------- statistics
 
 
-def measure_moments(df: DataFrame, _as_of) -> dict:
-    out = {}
-    for c in numeric_columns(df):
-        value = F.col(c).cast("double")
-        out |= {("std", c): F.stddev_samp(value), ("skew", c): adjusted_skewness(value)}
-    return out
-
-
 def judge_zero_variance(s: Subject):
-    found = [(c, s.seen[("std", c)]) for c in numeric_columns(s.df)]
+    found = [(c, s.seen["moments"][c]["std"]) for c in numeric_columns(s.df)]
     return [
         s.row(f"zero_variance_{c}", False, "warning", f"{c} hardly varies (std {std:.6f})", std)
         for c, std in found if std is not None and std < K.MIN_STDDEV
@@ -262,7 +259,7 @@ def judge_zero_variance(s: Subject):
 
 
 def judge_skew(s: Subject):
-    found = [(c, s.seen[("skew", c)]) for c in numeric_columns(s.df)]
+    found = [(c, s.seen["moments"][c]["skewness"]) for c in numeric_columns(s.df)]
     return [
         s.row(f"high_skew_{c}", False, "info", f"{c} is skewed ({skew:.2f})", skew)
         for c, skew in found if skew is not None and abs(skew) > K.HIGH_SKEW
@@ -344,8 +341,8 @@ CHECKS: dict[str, Check] = {
     "check_dates": Check(judge_dates, measure_dates),
     "check_binary_domain": Check(judge_binary, measure_churned),
     "check_outlier_share": Check(judge_outliers, needs=("outliers",)),
-    "check_zero_variance": Check(judge_zero_variance, measure_moments),
-    "check_skew": Check(judge_skew, measure_moments),
+    "check_zero_variance": Check(judge_zero_variance, needs=("moments",)),
+    "check_skew": Check(judge_skew, needs=("moments",)),
     "check_sample_size": Check(judge_sample_size),
     "check_class_imbalance": Check(judge_imbalance, measure_churned),
     "check_completeness": Check(judge_completeness, measure_nulls),
@@ -378,11 +375,11 @@ def check_rows(df: DataFrame, dataset: str, as_of, checks: list[str] | None = No
     subject.seen = measure(df, measures)
     distinct = _distinct_wanted(df, dataset, needs)
     if distinct:
-        counted = value_frequencies(df, distinct).groupBy("feature").agg(F.count("*").alias("n"))
-        found = {r["feature"]: r["n"] for r in counted.collect()}
-        subject.seen |= {("distinct", c): found.get(c, 0) for c in distinct}
+        subject.seen |= {("distinct", c): values for c, (_, values) in null_and_distinct_counts(df, distinct).items()}
     if "duplicates" in needs:
         subject.seen["duplicates"] = duplicate_rows(df)
+    if "moments" in needs:
+        subject.seen["moments"] = numeric_moments(df, numeric_columns(df), ("std", "skewness"))
     if "outliers" in needs:
         subject.seen |= count_outliers(df)
     return [row for c in chosen for row in c.judge(subject)]

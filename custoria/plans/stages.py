@@ -27,6 +27,16 @@ def clean_all(datasets: dict[str, DataFrame], as_of, deep_clean: bool = True, ea
     return {name: rules.get(name, C.clean_generic)(df) for name, df in datasets.items()}
 
 
+def _with_engagement(df: DataFrame, bounded_rows: int) -> DataFrame:
+    """Score and level, computed on the key and the few source columns and joined back once."""
+    sources = [c for c in ("purchase_frequency", "total_spent", "days_since_last_transaction", "avg_satisfaction") if c in df.columns]
+    if not sources:
+        return df
+    # equal keys have equal sources, hence equal scores
+    slim = S.engagement_score(df.select(X.KEY, *sources), bounded_rows).select(X.KEY, "engagement_score").dropDuplicates([X.KEY])
+    return X.join_features(df, S.engagement_level(materialize(slim), bounded_rows))
+
+
 def master_features(
     cleaned: dict[str, DataFrame], as_of, interactions_as_of=None, encode: bool = True,
     values: dict[str, dict[str, list[str]]] | None = None, bounded_rows: int = BOUNDED_ROWS,
@@ -34,8 +44,8 @@ def master_features(
     """One wide row per customer, as many rows as there are customers.
 
     Every source table is aggregated once. The transaction block is stored because the
-    quantile edges, the ranks and the join all read it; the joined table is stored before
-    the whole-column scores for the same reason.
+    quantile edges, the ranks and the join all read it; the joined table is stored once,
+    then the whole-column scores read only their columns of it.
     """
     values = values or {}
     out = cleaned["customers"]
@@ -55,8 +65,6 @@ def master_features(
     out = materialize(X.behavior_ratios(X.time_features(out)))
     if "total_spent" in out.columns:
         out = X.activity_status(S.value_segment(out, bounded_rows))
-    out = S.engagement_score(out, bounded_rows)
-    if "engagement_score" in out.columns:
-        out = S.engagement_level(materialize(out), bounded_rows)
+    out = _with_engagement(out, bounded_rows)
     out = X.fill_feature_nulls(S.health_score(out), BIN_COLUMNS)
     return encode_auto(out, skip=[X.KEY, *BIN_COLUMNS]) if encode else out
