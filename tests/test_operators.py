@@ -39,12 +39,12 @@ def people(spark):
 
 @pytest.fixture(scope="module")
 def clusters(spark):
-    """Nine to one, separable but for a strip."""
+    """Nine to one, overlapping."""
     rng = np.random.default_rng(5)
     rows = []
     for i in range(500):
         y = int(i % 10 == 0)
-        rows.append((i, [float(v) for v in rng.normal(3.0 * y, 1.0, 4)], y))
+        rows.append((i, [float(v) for v in rng.normal(1.4 * y, 1.0, 4)], y))
     return spark.createDataFrame(rows, "id bigint, features array<double>, label int").cache()
 
 
@@ -341,4 +341,4 @@ def test_search_returns_a_candidate(frame):
 def test_knn_votes(clusters):
     out = NN.predict_knn(clusters, clusters, 5, exclude_self=True)
     joined = out.join(clusters, "id")
-    assert M.classification_metrics(joined, "label", "prediction").first()["accuracy"] > 0.95
+    assert M.classification_metrics(joined, "label", "prediction").first()["accuracy"] > 0.9
