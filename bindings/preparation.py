@@ -70,17 +70,68 @@ def scale_row_norm(spark, sf):
     return rounded(Z.apply(data, Z.fit(data, ["lifetime_value", "total_spent"], "normalizer"), "normalizer"))
 
 
-@query("scale_quantile_normal")
+def _normal_sql(u: str) -> str:
+    """The published rational approximation of the normal quantile, written out."""
+
+    def ratio(parts, x):
+        top, bottom = (" + ".join(f"{v!r} * power({x}, {len(p) - 1 - i})" for i, v in enumerate(p)) for p in parts)
+        return f"({top}) / ({bottom})"
+
+    q, r = f"({u} - 0.5)", f"sqrt(-ln(least({u}, 1 - {u})))"
+    tail = f"CASE WHEN {r} <= 5 THEN {ratio(Z._MIDDLE, f'({r} - 1.6)')} ELSE {ratio(Z._FAR, f'({r} - 5)')} END"
+    return f"CASE WHEN abs({q}) <= 0.425 THEN {q} * {ratio(Z._CENTRAL, f'(0.180625 - {q} * {q})')} ELSE sign({q}) * ({tail}) END"
+
+
+QUANTILE_INPUTS = ["age", "total_spent", "total_transactions"]
+
+
+def _place_sql(c: str) -> str:
+    """Probability of each value in the 1000-point grid; ties take the middle of their range."""
+    return f"""
+SELECT v, greatest(1e-7, least(1 - 1e-7, CASE WHEN lo <= hi THEN (lo + hi) / 2.0 / 999 ELSE (hi + (v - gh) / (gl - gh)) / 999 END)) AS u FROM (
+SELECT v, min(i) FILTER (g >= v) AS lo, max(i) FILTER (g <= v) AS hi, min(g) FILTER (g >= v) AS gl, max(g) FILTER (g <= v) AS gh
+FROM (SELECT DISTINCT {c} AS v FROM facts WHERE {c} IS NOT NULL), (SELECT unnest(range(1000)) AS i,
+  unnest((SELECT quantile_cont({c}, [{", ".join(repr(i / 999) for i in range(1000))}]) FROM facts)) AS g) GROUP BY v)"""
+
+
+@query("scale_quantile_normal", facts_sql(
+    "SELECT customer_id, " + ", ".join(r4(_normal_sql(f"p_{c}.u"), c) for c in QUANTILE_INPUTS) + " FROM facts "
+    + " ".join(f"LEFT JOIN p_{c} ON p_{c}.v = facts.{c}" for c in QUANTILE_INPUTS), **{f"p_{c}": _place_sql(c) for c in QUANTILE_INPUTS}))
 def scale_quantile_normal(spark, sf):
-    data = materialize(facts(spark, sf).select("customer_id", *INPUTS))
-    return rounded(Z.apply(data, Z.fit(data, INPUTS, "quantile"), "quantile"))
+    data = materialize(facts(spark, sf).select("customer_id", *QUANTILE_INPUTS))
+    return rounded(Z.apply(data, Z.fit(data, QUANTILE_INPUTS, "quantile"), "quantile"))
+
+
+POWER_INPUTS = ["lifetime_value", "total_spent", "total_transactions"]
+
+
+def _power_value(x: str, p: str) -> str:
+    return (
+        f"CASE WHEN {x} >= 0 THEN CASE WHEN {p} = 0 THEN ln(1 + {x}) ELSE (power({x} + 1, {p}) - 1) / {p} END "
+        f"ELSE CASE WHEN {p} = 2 THEN -ln(1 - {x}) ELSE -(power(1 - {x}, 2 - {p}) - 1) / (2 - {p}) END END"
+    )
+
+
+def _power_ctes() -> dict[str, str]:
+    """Four rounds per column: 25 powers around the best of the round before, an eighth of the step each time."""
+    out = {}
+    for c in POWER_INPUTS:
+        before, step = "(SELECT 1.0::DOUBLE AS p)", 0.25
+        for i in range(4):
+            out[f"{c}_{i}"] = f"""SELECT p FROM (SELECT p, -count(x) / 2 * ln(var_pop(t)) + (p - 1) * sum(sign(x) * ln(1 + abs(x))) AS fit
+FROM (SELECT x, g.p, {_power_value("x", "g.p")} AS t FROM (SELECT CAST({c} AS DOUBLE) AS x FROM facts WHERE {c} IS NOT NULL),
+  (SELECT b.p + {step}::DOUBLE * s.k AS p FROM {before} b, (SELECT unnest(range(-12, 13)) AS k) s) g) GROUP BY p) ORDER BY fit DESC, p LIMIT 1"""
+            before, step = f"{c}_{i}", step / 8
+        out[f"{c}_t"] = f"SELECT customer_id, {_power_value(f'CAST({c} AS DOUBLE)', 'p')} AS t FROM facts, {c}_3"
+    return out
 
 
-@query("scale_yeo_johnson")
+@query("scale_yeo_johnson", facts_sql(
+    "SELECT customer_id, " + ", ".join(r4(f"({c}_t.t - (SELECT avg(t) FROM {c}_t)) / (SELECT stddev_pop(t) FROM {c}_t)", c) for c in POWER_INPUTS)
+    + " FROM facts " + " ".join(f"JOIN {c}_t USING (customer_id)" for c in POWER_INPUTS), **_power_ctes()))
 def scale_yeo_johnson(spark, sf):
-    data = materialize(facts(spark, sf).select("customer_id", "lifetime_value", "total_spent", "total_transactions"))
-    columns = ["lifetime_value", "total_spent", "total_transactions"]
-    return rounded(Z.apply(data, Z.fit(data, columns, "power"), "power"))
+    data = materialize(facts(spark, sf).select("customer_id", *POWER_INPUTS))
+    return rounded(Z.apply(data, Z.fit(data, POWER_INPUTS, "power"), "power"))
 
 
 MODEL_FRAME = ["customer_id", *INPUTS, "gender", "state", "customer_segment", "account_status", "churned"]

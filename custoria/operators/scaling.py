@@ -102,29 +102,31 @@ def yeo_johnson(value: Column, power: float) -> Column:
 
 
 def fit_power(df: DataFrame, columns: list[str]) -> dict[str, dict]:
-    """Power of greatest likelihood: a coarse grid of conditional aggregates, refined twice."""
+    """Power of greatest likelihood: a coarse grid per column, refined three times.
+
+    Every round is one aggregation over (column, power) rows built from the scan.
+    """
     centre, step, out = {c: 1.0 for c in columns}, 0.25, {}
     for _ in range(4):
-        tried = {c: [round(centre[c] + step * i, 6) for i in range(-12, 13)] for c in columns}
-        stats = {}
-        for c in columns:
-            v = F.col(c).cast("double")
-            stats[("n", c)] = F.count(v)
-            stats[("log", c)] = F.sum(F.signum(v) * F.log1p(F.abs(v)))
-            for p in tried[c]:
-                t = yeo_johnson(v, p)
-                stats |= {("mean", c, p): F.avg(t), ("var", c, p): F.var_pop(t)}
-        seen = measure(df, stats)
-        for c in columns:
-            def likelihood(p, c=c):
-                var = seen[("var", c, p)]
-                if not var or not math.isfinite(var):
-                    return -math.inf
-                return -seen[("n", c)] / 2 * math.log(var) + (p - 1) * seen[("log", c)]
-
-            best = max(tried[c], key=likelihood)
-            centre[c] = best
-            out[c] = {"power": best, "mean": seen[("mean", c, best)] or 0.0, "scale": _spread(math.sqrt(seen[("var", c, best)] or 0.0))}
+        tried = {c: [centre[c] + step * i for i in range(-12, 13)] for c in columns}
+        rows = F.array(*[
+            F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"), F.col(c).cast("double").alias("x"), yeo_johnson(F.col(c).cast("double"), p).alias("t"))
+            for i, c in enumerate(columns) for p in tried[c]
+        ])
+        x = F.col("x")
+        spread, slope = F.var_pop("t"), F.sum(F.signum(x) * F.log1p(F.abs(x)))
+        found = df.select(F.inline(rows)).groupBy("i", "p").agg(
+            F.avg("t").alias("mean"), spread.alias("var"), F.count("t").alias("n"), slope.alias("slope")
+        ).collect()
+        best: dict[int, tuple] = {}
+        for r in found:
+            usable = r["var"] and math.isfinite(r["var"])
+            fit = -r["n"] / 2 * math.log(r["var"]) + (r["p"] - 1) * r["slope"] if usable else -math.inf
+            best[r["i"]] = max(best.get(r["i"], (-math.inf, -math.inf, None)), (fit, -r["p"], r), key=lambda t: t[:2])
+        for i, c in enumerate(columns):
+            _, power, r = best[i]
+            centre[c] = -power if r is not None else 1.0
+            out[c] = {"power": centre[c], "mean": (r and r["mean"]) or 0.0, "scale": _spread(math.sqrt((r and r["var"]) or 0.0))}
         step /= 8
     return out
 
