@@ -20,7 +20,6 @@ def running_totals(
     then only one total per (partition, segment) has to travel ahead.
     """
     segments = list(segments)
-    spark = df.sparkSession
     small = materialize(df)
     if small.count() <= bounded_rows:
         keyed = small.withColumn("_one", F.lit(1))
@@ -30,15 +29,14 @@ def running_totals(
         small.repartitionByRange(*segments, *order).withColumn("_part", F.spark_partition_id())
     )
     totals = ranged.groupBy("_part", *segments).agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-    # one row per partition and segment: bounded by the partition count
-    ahead = W.partitionBy(F.lit(1), *segments).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(
-        "_part", *segments, *[F.coalesce(F.sum(f"_t_{s}").over(ahead), F.lit(0)).alias(f"_o_{s}") for s in sums]
-    )
+    ahead = W.partitionBy(*(segments or [F.lit(1)])).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    # only a segment that began in an earlier partition has an offset: at most one per partition
+    offsets = totals.select("_part", *segments, *[F.sum(f"_t_{s}").over(ahead).alias(f"_o_{s}") for s in sums])
+    offsets = materialize(offsets.where(F.col(f"_o_{sums[0]}").isNotNull()))
     inner = W.partitionBy("_part", *segments).orderBy(*order)
-    out = ranged.join(F.broadcast(offsets), ["_part", *segments])
+    out = ranged.join(F.broadcast(offsets), ["_part", *segments], "left")
     return out.select(
-        *small.columns, *[(F.sum(s).over(inner) + F.col(f"_o_{s}")).alias(f"run_{s}") for s in sums]
+        *small.columns, *[(F.sum(s).over(inner) + F.coalesce(f"_o_{s}", F.lit(0))).alias(f"run_{s}") for s in sums]
     )
 
 

@@ -96,9 +96,10 @@ def fill_customer_constants(df: DataFrame) -> DataFrame:
 
 def impute_group_median(df: DataFrame, column: str, group: str) -> DataFrame:
     """Fill nulls by the median of the row's group; a null group has no median."""
-    medians = aggregate_with_medians(
+    # stored, so that the join sees the real size of this side and does not shuffle the rows by a coarse key
+    medians = materialize(aggregate_with_medians(
         df.where(F.col(group).isNotNull()).select(group, column), [group], [], {"_median": column}
-    )
+    ))
     return df.join(medians, group, "left").withColumn(column, F.coalesce(column, "_median")).select(*df.columns)
 
 

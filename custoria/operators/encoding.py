@@ -1,4 +1,8 @@
-"""Categorical encoders: small parameter tables fitted by aggregation, applied by projection or join."""
+"""Categorical encoders: parameter tables fitted by aggregation, applied by projection or join.
+
+Tables that are joined back are stored first: the join then knows their real size and
+broadcasts them only below Spark's own limit.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +13,7 @@ from pyspark.sql import functions as F
 from custoria import constants as K
 from custoria.functions.columns import string_columns, to_long
 from custoria.functions.ranking import row_positions
+from custoria.session import materialize
 
 # Smoothing of the target mean.
 TARGET_MIN_SAMPLES = 20.0
@@ -32,7 +37,7 @@ def category_codes(df: DataFrame, column: str) -> DataFrame:
 
 def encode_label(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
     """Position of the value in sorted order; null stays null."""
-    codes = category_codes(df, column).withColumnRenamed("_code", name or f"{column}_encoded")
+    codes = materialize(category_codes(df, column)).withColumnRenamed("_code", name or f"{column}_encoded")
     return df.join(codes, F.col(column).cast("string") == F.col("_value"), "left").drop("_value")
 
 
@@ -86,7 +91,7 @@ def target_means(
 def encode_target(df: DataFrame, column: str, label: str, fit_on: DataFrame | None = None, name: str | None = None, **smooth) -> DataFrame:
     """Smoothed label mean per category, fitted on ``fit_on`` (the training rows) when given."""
     means, prior = target_means(fit_on if fit_on is not None else df, column, label, **smooth)
-    joined = df.join(means, F.col(column).eqNullSafe(F.col("_value")), "left")
+    joined = df.join(materialize(means), F.col(column).eqNullSafe(F.col("_value")), "left")
     return joined.withColumn(name or f"{column}_target_encoded", F.coalesce("_encoding", F.lit(prior))).drop("_value", "_encoding")
 
 
