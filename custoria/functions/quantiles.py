@@ -26,17 +26,23 @@ def _clean(value: Column) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, wanted: dict[str, list[float]], bounded_rows: int = BOUNDED_ROWS
+    df: DataFrame, wanted: dict[str, list[float]], bounded_rows: int = BOUNDED_ROWS, counts: dict[str, int] | None = None
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles per column: {column: probabilities} -> {column: values}."""
+    """Linearly interpolated quantiles per column: {column: probabilities} -> {column: values}.
+
+    ``counts`` may give the known non-null rows per column, which saves counting them.
+    """
     columns = list(wanted)
     if not columns:
         return {}
     values = df.select([_clean(F.col(f"`{c}`")).alias(f"v{i}") for i, c in enumerate(columns)])
     long = values.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"v{i}").alias("v")) for i in range(len(columns))])))
-    found = {r["i"]: r["n"] for r in long.where("v is not null").groupBy("i").agg(F.count("*").alias("n")).collect()}
-    counts = [found.get(i, 0) for i in range(len(columns))]
-    if max(counts) <= bounded_rows:
+    if counts is not None:
+        sizes = [counts[c] for c in columns]
+    else:
+        found = {r["i"]: r["n"] for r in long.where("v is not null").groupBy("i").agg(F.count("*").alias("n")).collect()}
+        sizes = [found.get(i, 0) for i in range(len(columns))]
+    if max(sizes) <= bounded_rows:
         # one bounded map per column, the columns in parallel
         every = sorted({q for probabilities in wanted.values() for q in probabilities})
         picked = long.where("v is not null").groupBy("i").agg(F.percentile("v", F.array(*map(F.lit, every))).alias("q")).collect()
@@ -46,10 +52,10 @@ def exact_quantiles(
     slots = {}
     for i, c in enumerate(columns):
         for j, q in enumerate(wanted[c]):
-            if counts[i]:
-                position = (counts[i] - 1) * q
+            if sizes[i]:
+                position = (sizes[i] - 1) * q
                 slots[(i, j)] = {
-                    "column": f"v{i}", "low": -math.inf, "high": math.inf, "below": 0, "inside": counts[i],
+                    "column": f"v{i}", "low": -math.inf, "high": math.inf, "below": 0, "inside": sizes[i],
                     "first": math.floor(position), "last": math.ceil(position), "share": position - math.floor(position),
                 }
     _narrow(values, slots, bounded_rows)

@@ -36,6 +36,12 @@ def imbalance_report(df: DataFrame, label: str = "label") -> DataFrame:
     )
 
 
+def distribution_change(before: DataFrame, after: DataFrame, label: str = "label") -> DataFrame:
+    """The imbalance report before and after balancing, one under the other."""
+    first, second = imbalance_report(before, label), imbalance_report(after, label)
+    return first.withColumn("stage", F.lit("original")).unionByName(second.withColumn("stage", F.lit("balanced")))
+
+
 def class_weights(df: DataFrame, label: str = "label", strategy: str = "balanced") -> DataFrame:
     """(class, weight): n / (classes * n_c), or the root of largest over own size."""
     counts = {c: n for c, n in class_counts(df, label).items() if c is not None}
@@ -69,17 +75,12 @@ def undersample_random(df: DataFrame, seed: int = SEED) -> DataFrame:
     return cut_classes(df, "label", "id", parts, "drop", seed, "_part", counts).where("_part = 'keep'").drop("_part")
 
 
-def _labels(df: DataFrame, key: str, name: str) -> DataFrame:
-    return df.select(F.col("id").alias(key), F.col("label").alias(name))
-
-
 def tomek_links(df: DataFrame) -> DataFrame:
     """(id, neighbour) pairs that are each other's nearest row and differ in class; both directions."""
-    first = materialize(nearest(df, df, 1, exclude_self=True).select("id", "neighbour"))
-    back = first.select(F.col("id").alias("neighbour"), F.col("neighbour").alias("id"))
-    mutual = first.join(back, ["id", "neighbour"])
-    labelled = mutual.join(_labels(df, "id", "_a"), "id").join(_labels(df, "neighbour", "_b"), "neighbour")
-    return labelled.where("_a <> _b").select("id", "neighbour")
+    first = materialize(nearest(df, df, 1, exclude_self=True, carry=["label"]).select("id", "neighbour", "neighbour_label"))
+    # row i says its neighbour's class, the neighbour's row says i's
+    back = first.select(F.col("id").alias("neighbour"), F.col("neighbour").alias("id"), F.col("neighbour_label").alias("_own"))
+    return first.join(back, ["id", "neighbour"]).where("neighbour_label <> _own").select("id", "neighbour")
 
 
 def undersample_tomek(df: DataFrame, both_classes: bool = False) -> DataFrame:
@@ -95,11 +96,9 @@ def undersample_enn(df: DataFrame, both_classes: bool = False, k: int = 3) -> Da
     """Without rows whose k nearest neighbours are not all of their own class."""
     small, _, _ = _classes(df)
     judged = df if both_classes else df.where(F.col("label") != small)
-    found = nearest(judged, df, k, exclude_self=True)
-    mixed = (
-        found.join(_labels(df, "neighbour", "_b"), "neighbour").join(_labels(judged, "id", "_a"), "id")
-        .where("_a <> _b").select("id").distinct()
-    )
+    found = nearest(judged, df, k, exclude_self=True, carry=["label"])
+    around = found.groupBy("id").agg(F.min("neighbour_label").alias("_low"), F.max("neighbour_label").alias("_high"))
+    mixed = around.join(judged.select("id", "label"), "id").where("_low <> label or _high <> label").select("id")
     return df.join(mixed, "id", "left_anti").select(df.columns)
 
 
@@ -170,8 +169,8 @@ def oversample_borderline(df: DataFrame, k: int = 5, m: int = 10, seed: int = SE
     """SMOTE from the minority rows in danger: at least half, not all, of m neighbours are of the majority."""
     small, large, counts = _classes(df)
     minority = materialize(df.where(F.col("label") == small).select("id", "features"))
-    around = nearest(minority, df, m, exclude_self=True).join(_labels(df, "neighbour", "_b"), "neighbour")
-    foreign, near = F.count_if(F.col("_b") != small), F.count("*")
+    around = nearest(minority, df, m, exclude_self=True, carry=["label"])
+    foreign, near = F.count_if(F.col("neighbour_label") != small), F.count("*")
     danger = around.groupBy("id").agg(foreign.alias("_f"), near.alias("_n")).where("_f >= _n / 2 and _f < _n").select("id")
     found = materialize(nearest(minority, minority, k, exclude_self=True))
     draws = _even_shares(danger, counts[large] - counts[small], seed)
@@ -182,8 +181,8 @@ def oversample_adasyn(df: DataFrame, k: int = 5, seed: int = SEED) -> DataFrame:
     """More synthetic rows where more neighbours are of the majority."""
     small, large, counts = _classes(df)
     minority = materialize(df.where(F.col("label") == small).select("id", "features"))
-    around = nearest(minority, df, k, exclude_self=True).join(_labels(df, "neighbour", "_b"), "neighbour")
-    shares = materialize(around.groupBy("id").agg((F.count_if(F.col("_b") != small) / F.count("*")).alias("_share")))
+    around = nearest(minority, df, k, exclude_self=True, carry=["label"])
+    shares = materialize(around.groupBy("id").agg((F.count_if(F.col("neighbour_label") != small) / F.count("*")).alias("_share")))
     total = shares.agg(F.sum("_share")).first()[0]
     if not total:
         return _append(df, minority.select("id", F.lit(0).alias("draw"), "features").where("false"), small)
@@ -208,12 +207,11 @@ def oversample_smote_mixed(df: DataFrame, categories: list[str], k: int = 5, see
         F.when(F.col(c).eqNullSafe(F.lit(v)), F.lit(middle / 2)).otherwise(0.0) for c in categories for v in values[c]
     ]
     widened = minority.withColumn("features", F.concat("features", F.array(*flags)) if flags else F.col("features"))
-    found = materialize(nearest(widened, widened, k, exclude_self=True))
+    found = materialize(nearest(widened, widened, k, exclude_self=True, carry=categories))
     draws = _even_shares(minority, counts[large] - counts[small], seed)
     made = _interpolate(draws, minority, found, seed)
-    near = found.join(minority.select(F.col("id").alias("neighbour"), *categories), "neighbour")
     # k rows per id, so the mode's map is that small
-    modes = near.groupBy("id").agg(*[F.mode(c, True).alias(c) for c in categories])
+    modes = found.groupBy("id").agg(*[F.mode(f"neighbour_{c}", True).alias(c) for c in categories])
     made = made.join(modes, "id")
     kind = dict(df.dtypes)["label"]
     originals = df.select(F.col("id").cast("string").alias("id"), "features", "label", *categories, F.lit(False).alias("synthetic"))

@@ -54,8 +54,8 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
 def numeric_profile(df: DataFrame, columns: list[str] | None = None, target: str | None = None, limit: int = 50) -> DataFrame:
     """Moments, quartiles, zeros and distinct values of the first ``limit`` numeric columns."""
     columns = (columns or numeric_columns(df, {target}))[:limit]
-    moments = numeric_moments(df, columns, ("mean", "std", "min", "max", "skewness", "kurtosis", "zeros"))
-    quartiles = exact_quantiles(df, {c: [0.25, 0.5, 0.75] for c in columns})
+    moments = numeric_moments(df, columns, ("count", "mean", "std", "min", "max", "skewness", "kurtosis", "zeros"))
+    quartiles = exact_quantiles(df, {c: [0.25, 0.5, 0.75] for c in columns}, counts={c: moments[c]["count"] for c in columns})
     distinct = null_and_distinct_counts(df, columns)
     rows = []
     for c in columns:

@@ -146,7 +146,7 @@ def judge_primary_key(s: Subject):
     rows = []
     for c in primary_keys(s.df, s.name):
         # all nulls together count as one value
-        repeated = s.rows - s.seen[("distinct", c)] - (1 if s.seen[("nulls", c)] else 0)
+        repeated = s.rows - s.seen[("distinct", c)] - (1 if s.seen[("filled", c)] < s.rows else 0)
         if repeated:
             rows.append(s.row(f"duplicate_primary_key_{c}", False, "error", f"{repeated:,} repeated values in key {c}", repeated))
         else:
@@ -266,11 +266,11 @@ def judge_skew(s: Subject):
     ]
 
 
-def count_outliers(df: DataFrame) -> dict:
+def count_outliers(df: DataFrame, moments: dict) -> dict:
     """Rows outside the quartile fences per numeric column: quartiles first, then one counting pass."""
     columns = numeric_columns(df)
-    counts = {}
-    for c, (q1, q3) in exact_quantiles(df, {c: [0.25, 0.75] for c in columns}).items():
+    sizes, counts = {c: moments[c]["count"] for c in columns}, {}
+    for c, (q1, q3) in exact_quantiles(df, {c: [0.25, 0.75] for c in columns}, counts=sizes).items():
         if q1 is not None and q3 > q1:
             reach = K.OUTLIER_IQR_FACTOR * (q3 - q1)
             counts[("outliers", c)] = F.count_if(~F.col(c).between(F.lit(q1 - reach), F.lit(q3 + reach)))
@@ -334,13 +334,13 @@ CHECKS: dict[str, Check] = {
     "check_type_profile": Check(judge_types, measure_types),
     "check_missing": Check(judge_missing, measure_nulls),
     "check_duplicate_rows": Check(judge_duplicate_rows, needs=("duplicates",)),
-    "check_primary_key": Check(judge_primary_key, measure_nulls, ("keys",)),
+    "check_primary_key": Check(judge_primary_key, needs=("keys",)),
     "check_foreign_key_cardinality": Check(judge_foreign_key, needs=("foreign",)),
     "check_age_range": Check(judge_age, measure_age),
     "check_amounts": Check(judge_amounts, measure_amounts),
     "check_dates": Check(judge_dates, measure_dates),
     "check_binary_domain": Check(judge_binary, measure_churned),
-    "check_outlier_share": Check(judge_outliers, needs=("outliers",)),
+    "check_outlier_share": Check(judge_outliers, needs=("moments", "outliers")),
     "check_zero_variance": Check(judge_zero_variance, needs=("moments",)),
     "check_skew": Check(judge_skew, needs=("moments",)),
     "check_sample_size": Check(judge_sample_size),
@@ -375,13 +375,14 @@ def check_rows(df: DataFrame, dataset: str, as_of, checks: list[str] | None = No
     subject.seen = measure(df, measures)
     distinct = _distinct_wanted(df, dataset, needs)
     if distinct:
-        subject.seen |= {("distinct", c): values for c, (_, values) in null_and_distinct_counts(df, distinct).items()}
+        for c, (filled, values) in null_and_distinct_counts(df, distinct).items():
+            subject.seen |= {("filled", c): filled, ("distinct", c): values}
     if "duplicates" in needs:
         subject.seen["duplicates"] = duplicate_rows(df)
     if "moments" in needs:
-        subject.seen["moments"] = numeric_moments(df, numeric_columns(df), ("std", "skewness"))
+        subject.seen["moments"] = numeric_moments(df, numeric_columns(df), ("count", "std", "skewness"))
     if "outliers" in needs:
-        subject.seen |= count_outliers(df)
+        subject.seen |= count_outliers(df, subject.seen["moments"])
     return [row for c in chosen for row in c.judge(subject)]
 
 

@@ -10,8 +10,11 @@ from custoria.functions.quantiles import BOUNDED_ROWS
 from custoria.operators import cleaning as C
 from custoria.operators import features as X
 from custoria.operators import scores as S
+from custoria.operators import validation as Q
 from custoria.operators.encoding import encode_auto
+from custoria.operators.split import split_report, split_stratified
 from custoria.session import materialize
+from custoria.sources.sinks import load_stage, save_stage
 
 BIN_COLUMNS = ["age_group", "lifetime_segment", "value_segment", "activity_status", "engagement_level"]
 
@@ -68,3 +71,46 @@ def master_features(
     out = _with_engagement(out, bounded_rows)
     out = X.fill_feature_nulls(S.health_score(out), BIN_COLUMNS)
     return encode_auto(out, skip=[X.KEY, *BIN_COLUMNS]) if encode else out
+
+
+def prepare(master: DataFrame, label: str = "churned", key: str = X.KEY) -> dict[str, DataFrame]:
+    """Train, validation and test rows with the report of their sizes."""
+    parts = split_stratified(master, label, key)
+    out = {name: parts.where(F.col("split") == name).drop("split") for name in K.SPLIT_SHARES}
+    return out | {"split_report": split_report(parts, label)}
+
+
+STAGES = ["collected", "cleaned", "validated", "features", "prepared"]
+
+
+def run_stages(
+    raw: dict[str, DataFrame], as_of, root: str, interactions_as_of=None, earliest: str = K.EARLIEST_TRANSACTION,
+    resume_from: str | None = None, label: str = "churned",
+) -> dict[str, dict[str, DataFrame]]:
+    """All stages in order, every one stored under ``root``; ``resume_from`` reads the stages before it."""
+    start = STAGES.index(resume_from) if resume_from else 0
+    spark = next(iter(raw.values())).sparkSession
+    names = {"validated": ["checks", "summary", "gate"], "features": ["master"], "prepared": [*K.SPLIT_SHARES, "split_report"]}
+    out: dict[str, dict[str, DataFrame]] = {}
+
+    def collected():
+        return raw
+
+    def cleaned():
+        return clean_all(out["collected"], as_of, earliest=earliest)
+
+    def validated():
+        checks = Q.validate(out["cleaned"], as_of)
+        summary = Q.validation_summary(checks)
+        return {"checks": checks, "summary": summary, "gate": Q.validation_gate(summary)}
+
+    def features():
+        return {"master": master_features(out["cleaned"], as_of, interactions_as_of)}
+
+    def prepared():
+        return prepare(out["features"]["master"], label)
+
+    for i, (stage, build) in enumerate(zip(STAGES, (collected, cleaned, validated, features, prepared))):
+        known = names.get(stage, list(raw))
+        out[stage] = load_stage(spark, root, stage, known) if i < start else save_stage(build(), root, stage)
+    return out

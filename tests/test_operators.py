@@ -105,6 +105,20 @@ def test_stage_round_trip(spark, people):
     assert sorted(back.collect()) == sorted(people.collect())
 
 
+def test_stages_run_and_resume(spark, people):
+    sales = people.select(
+        F.concat("customer_id", F.lit("-1")).alias("transaction_id"), "customer_id", F.col("registration_date").alias("transaction_date"),
+        F.col("age").cast("double").alias("total_amount"),
+    )
+    root = workspace(spark)
+    first = stages.run_stages({"customers": people, "transactions": sales}, AS_OF, root)
+    assert first["prepared"]["train"].count() + first["prepared"]["val"].count() + first["prepared"]["test"].count() == people.count()
+    test_rows = sorted(first["prepared"]["test"].select("customer_id").collect())
+    # the resumed run replaces the stored stage, so the first one's rows are read before
+    again = stages.run_stages({"customers": people, "transactions": sales}, AS_OF, root, resume_from="prepared")
+    assert sorted(again["prepared"]["test"].select("customer_id").collect()) == test_rows
+
+
 # ---------------------------------------------------------------- split, scaling, encoding
 
 
@@ -243,6 +257,11 @@ def test_oversampling_grows_the_minority_between_its_points(clusters, method):
     assert out.select("id").distinct().count() == out.count()
 
 
+def test_report_of_the_change(clusters):
+    rows = {(r["stage"], r["class"]): r for r in B.distribution_change(clusters, B.undersample_random(clusters)).collect()}
+    assert rows[("original", 0)]["imbalance_ratio"] == 9 and rows[("balanced", 0)]["imbalance_ratio"] == 1
+
+
 def test_synthetic_rows_lie_on_a_segment_between_neighbours(clusters):
     real = {r["id"]: np.array(r["features"]) for r in clusters.where("label = 1").collect()}
     near = brute(real, 5)
@@ -291,6 +310,7 @@ def test_model_based_selection_ranks_noise_last(frame):
     assert min(importance, key=importance.get) == "noise" or importance["noise"] < 0.02
     chosen, ranking, scores = L.select_rfe_cv(frame, "label", "id", COLUMNS, 2, folds=2, drop_share=0.3, trees=10)
     assert 2 <= len(chosen) <= 5 and set(ranking) == set(COLUMNS) and all(s > 0.5 for _, s in scores)
+    assert "noise" not in L.select_k_best(frame, "label", 3, COLUMNS, "mutual_information")
     voted = [r["feature"] for r in L.select_ensemble_vote(frame, "label", "id", COLUMNS, 2, ("kbest", "forest"), trees=10).collect()]
     assert len(voted) == 2
 
