@@ -134,6 +134,8 @@ def scale_yeo_johnson(spark, sf):
     return rounded(Z.apply(data, Z.fit(data, POWER_INPUTS, "power"), "power"))
 
 
+# weight of a category's own mean among n rows
+_BLEND = "1 / (1 + exp(-(n - 20) / 10.0))"
 MODEL_FRAME = ["customer_id", *INPUTS, "gender", "state", "customer_segment", "account_status", "churned"]
 
 
@@ -147,7 +149,15 @@ def detect_feature_types(spark, sf):
     return spark.createDataFrame(list(types.items()), "feature string, feature_type string")
 
 
-@query("scale_auto")
+@query("scale_auto", facts_sql(
+    "SELECT customer_id, account_status, " + ", ".join(
+        r4(f"({c} - (SELECT avg({c}) FROM facts)) / (SELECT stddev_pop({c}) FROM facts)", c) for c in INPUTS if c != "max_transaction_value"
+    ) + ", " + r4("(max_transaction_value - (SELECT median(max_transaction_value) FROM facts)) / "
+                  "(SELECT quantile_cont(max_transaction_value, 0.75) - quantile_cont(max_transaction_value, 0.25) FROM facts)", "max_transaction_value")
+    + ", " + ", ".join(f"gender = '{g}' AS gender_{g}" for g in "bfhm")
+    + ", " + ", ".join(f"customer_segment = '{c}' AS \"customer_segment_{c}\"" for c in ("BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"))
+    + f""", {r4(f"CASE WHEN n <= 1 THEN p ELSE p * (1 - {_BLEND}) + a * {_BLEND} END", "state")} FROM facts
+JOIN (SELECT state, count(*) AS n, avg(churned) AS a FROM facts GROUP BY state) USING (state), (SELECT avg(churned) AS p FROM facts)"""))
 def scale_auto(spark, sf):
     """Fit, save, load again and transform with the loaded state."""
     data = materialize(facts(spark, sf).select(*MODEL_FRAME))
@@ -191,9 +201,6 @@ def encode_onehot(spark, sf):
     return N.encode_onehot(V.interactions(spark, sf).select("interaction_id", "interaction_type", "channel"), ["interaction_type", "channel"]).drop("interaction_type", "channel")
 
 
-_BLEND = "1 / (1 + exp(-(n - 20) / 10.0))"
-
-
 @query("encode_target", oracle("customers", f"""
 SELECT customer_id, {r4(f"CASE WHEN n <= 1 THEN p ELSE p * (1 - {_BLEND}) + a * {_BLEND} END", "state_target_encoded")} FROM customers
 JOIN (SELECT state, count(*) AS n, avg(churned) AS a FROM customers GROUP BY state) USING (state), (SELECT avg(churned) AS p FROM customers)"""))

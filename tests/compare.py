@@ -45,14 +45,14 @@ def rows_of(table) -> tuple[list[str], list]:
 
 def type_notes(spark_df, con, sql: str) -> str:
     """Columns whose Arrow types differ between the two results."""
-    got, want = spark_df.toArrow().schema, con.execute(sql).to_arrow_table().schema
+    got, want = spark_df.toArrow().schema, con.sql(sql).to_arrow_table().schema
     return ", ".join(f"{n} {got.field(n).type}/{want.field(n).type}" for n in got.names if got.field(n).type != want.field(n).type)
 
 
 def differences(spark_df, con, sql: str, show: int = 3) -> str | None:
     """None when names, row count and every value agree; else a description."""
     got_names, got = rows_of(spark_df.toArrow())
-    want_names, want = rows_of(con.execute(sql).to_arrow_table())
+    want_names, want = rows_of(con.sql(sql).to_arrow_table())
     if got_names != want_names:
         return f"columns differ: spark {sorted(set(got_names) - set(want_names))}, sql {sorted(set(want_names) - set(got_names))}"
     if len(got) != len(want):

@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import connection, differences
 
-# one-hot columns follow the values present; the smallest tables lack some of them
-DATA_SHAPED = {"master_features", "encode_auto"}
+# columns, methods or the size of a grid follow the values present; these need tables that have all of them
+DATA_SHAPED = {"master_features", "encode_auto", "scale_auto", "scale_quantile_normal"}
+FULL = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,11 @@ def test_query_equals_sql(spark, small, con, name):
     assert differences(entry.queries()[name](spark, small), con, entry.oracle_sql()[name]) is None
 
 
+@pytest.mark.parametrize("name", sorted(DATA_SHAPED))
+def test_data_shaped_query_equals_sql(spark, name):
+    assert differences(entry.queries()[name](spark, FULL), connection(FULL), entry.oracle_sql()[name]) is None
+
+
 def test_every_query_with_sql_is_registered():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
