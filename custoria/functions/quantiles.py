@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from custoria.session import materialize
 
 BOUNDED_ROWS = 1_000_000
+MAX_HOT_KEYS = 1_000_000
 SKETCH_ACCURACY = 10_000
 
 
@@ -74,25 +75,30 @@ def _narrow(values: DataFrame, slots: dict, bounded_rows: int) -> None:
     open_slots = {k for k, s in slots.items() if s["inside"] > bounded_rows}
     while open_slots:
         keys = sorted(open_slots)
-        sketches = []
+        # slots that look at the same rows share one sketch
+        asked: dict[tuple, list[float]] = {}
+        places = {}
         for k in keys:
-            slot = slots[k]
-            n = slot["inside"]
-            slack = 2.0 / SKETCH_ACCURACY
-            low = max(0.0, (slot["first"] - slot["below"]) / n - slack)
-            high = min(1.0, (slot["last"] + 1 - slot["below"]) / n + slack)
-            sketches.append(
-                F.percentile_approx(F.when(_inside(slot), F.col(slot["column"])), [low, high], SKETCH_ACCURACY)
-            )
-        brackets = values.agg(*[s.alias(f"b{i}") for i, s in enumerate(sketches)]).first()
+            slot, slack = slots[k], 2.0 / SKETCH_ACCURACY
+            low = max(0.0, (slot["first"] - slot["below"]) / slot["inside"] - slack)
+            high = min(1.0, (slot["last"] + 1 - slot["below"]) / slot["inside"] + slack)
+            ranks = asked.setdefault((slot["column"], slot["low"], slot["high"]), [])
+            places[k] = (slot["column"], slot["low"], slot["high"]), len(ranks)
+            ranks += [low, high]
+        sketches = [
+            F.percentile_approx(F.when(F.col(column).between(F.lit(low), F.lit(high)), F.col(column)), ranks, SKETCH_ACCURACY).alias(f"b{i}")
+            for i, ((column, low, high), ranks) in enumerate(asked.items())
+        ]
+        sketched = dict(zip(asked, values.agg(*sketches).first()))
+        brackets = {k: sketched[rows][at : at + 2] for k, (rows, at) in places.items()}
         checks = []
         for i, k in enumerate(keys):
-            low, high = brackets[i]
+            low, high = brackets[k]
             v = F.col(slots[k]["column"])
             checks += [F.count_if(v < low).alias(f"below{i}"), F.count_if(v.between(low, high)).alias(f"in{i}")]
         seen = values.agg(*checks).first()
         for i, k in enumerate(keys):
-            slot, (low, high) = slots[k], brackets[i]
+            slot, (low, high) = slots[k], brackets[k]
             below, inside = seen[2 * i], seen[2 * i + 1]
             covers = below <= slot["first"] and slot["last"] < below + inside
             if covers and inside < slot["inside"]:
@@ -134,16 +140,18 @@ def _pick(values: DataFrame, slots: dict) -> dict:
     return out
 
 
-def has_hot_groups(df: DataFrame, keys: list[str], bounded_rows: int = BOUNDED_ROWS) -> bool:
-    """Whether any group holds more than ``bounded_rows`` rows."""
-    if df.count() <= bounded_rows:
-        return False
-    return not hot_groups(df, keys, bounded_rows).isEmpty()
-
+def hot_groups(df: DataFrame, keys: list[str], bounded_rows: int = BOUNDED_ROWS) -> DataFrame | None:
+    """Keys of the groups too large for one task's value map; None when there are none.
 
-def hot_groups(df: DataFrame, keys: list[str], bounded_rows: int = BOUNDED_ROWS) -> DataFrame:
-    """Keys of the groups above the bound: at most rows / bounded_rows of them."""
-    return df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > bounded_rows).drop("_n")
+    The limit rises with the table so that never more than MAX_HOT_KEYS keys are hot.
+    """
+    rows = df.count()
+    limit = max(bounded_rows, rows // MAX_HOT_KEYS)
+    if rows <= limit:
+        return None
+    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit).drop("_n")
+    hot = materialize(hot.withColumn("_hot", F.lit(True)))
+    return None if hot.isEmpty() else hot
 
 
 def aggregate_with_medians(
@@ -154,10 +162,10 @@ def aggregate_with_medians(
     Without hot groups this is one plain aggregation. With them, hot rows stay out of the
     per-group value maps and their medians come from bracketed counting.
     """
-    if not medians or not has_hot_groups(df, keys, bounded_rows):
+    hot = hot_groups(df, keys, bounded_rows) if medians else None
+    if hot is None:
         return df.groupBy(*keys).agg(*aggregates, *[F.median(_clean(F.col(c))).alias(a) for a, c in medians.items()])
-    hot = materialize(hot_groups(df, keys, bounded_rows).withColumn("_hot", F.lit(True)))
-    # at most rows / bounded_rows keys, hence broadcast
+    # at most MAX_HOT_KEYS keys, hence broadcast
     flagged = df.join(F.broadcast(hot), keys, "left")
     cold = [F.median(F.when(F.col("_hot").isNull(), _clean(F.col(c)))).alias(a) for a, c in medians.items()]
     out = flagged.groupBy(*keys).agg(*aggregates, *cold)
