@@ -120,6 +120,16 @@ def correlation_table(df: DataFrame, columns: list[str], wide: int = 30) -> dict
 
 
 def null_and_distinct_counts(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, int]]:
-    """{column: (non-null rows, distinct values)} from one shuffle of (column, value) counts."""
-    counted = value_frequencies(df, columns).groupBy("feature").agg(F.sum("n").alias("known"), F.count("*").alias("values"))
-    return {c: (0, 0) for c in columns} | {r["feature"]: (r["known"], r["values"]) for r in counted.collect()}
+    """{column: (non-null rows, distinct values)}: one shuffle of (column, value) counts per kind of value."""
+    kinds: dict[str, list[str]] = {}
+    for f in df.schema:
+        if f.name in columns:
+            whole, real = isinstance(f.dataType, T.IntegralType), isinstance(f.dataType, T.FractionalType)
+            real = real and not isinstance(f.dataType, T.DecimalType)
+            kinds.setdefault("bigint" if whole else "double" if real else "string", []).append(f.name)
+    out = {c: (0, 0) for c in columns}
+    for kind, names in kinds.items():
+        counted = to_long(df, names, kind).where("value is not null").groupBy("feature", "value").agg(F.count("*").alias("n"))
+        per_column = counted.groupBy("feature").agg(F.sum("n").alias("known"), F.count("*").alias("values"))
+        out |= {r["feature"]: (r["known"], r["values"]) for r in per_column.collect()}
+    return out
