@@ -207,6 +207,8 @@ def clean_customers(df: DataFrame, as_of, deep_clean: bool = True) -> DataFrame:
     out = dedup_by_key(df, ["customer_id"])
     out = fix_types(out, {"customer_id": "string", "age": "double", "registration_date": "timestamp_ntz", "churned": "int"})
     out = drop_critical_nulls(out)
+    if "age" in has:
+        out = materialize(out)  # medians, quartiles and the result would each repeat the key shuffle
     if {"age", "customer_segment"} <= has:
         out = impute_group_median(out, "age", "customer_segment")
     out = fill_constants(out, {c: "Unknown" for c in K.CUSTOMER_TEXT_FILLS} | {c: False for c in K.CUSTOMER_FLAG_FILLS})
@@ -265,7 +267,7 @@ def impute_satisfaction(df: DataFrame) -> DataFrame:
 def clean_interactions(df: DataFrame, deep_clean: bool = True) -> DataFrame:
     out = fix_types(dedup_by_key(df, ["interaction_id"]), INTERACTION_TYPES)
     if "satisfaction_score" in df.columns:
-        out = clip_range(impute_satisfaction(out), "satisfaction_score", 1.0, 5.0)
+        out = clip_range(impute_satisfaction(materialize(out)), "satisfaction_score", 1.0, 5.0)
     if deep_clean and "duration_seconds" in df.columns:
         out = cap_upper(out, "duration_seconds", K.MAX_DURATION_SECONDS)
     return business_hours(out) if "interaction_date" in df.columns else out
@@ -276,7 +278,7 @@ def clean_marketing(df: DataFrame) -> DataFrame:
 
 
 def clean_generic(df: DataFrame) -> DataFrame:
-    return impute_global(dedup_rows(df))
+    return impute_global(materialize(dedup_rows(df)))
 
 
 # ---------------------------------------------------------------- report
