@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custoria.llm import decontaminate, sentencepiece, simhash
+from custoria.llm import decontaminate, html, linededup, quality, sentencepiece, sharding, simhash
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -17,6 +17,34 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.main_text(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"), "removed_nodes")
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = linededup.dedup_lines(docs)
+    return found.select(
+        "doc_id",
+        F.col("line_count").alias("n_lines"),
+        F.col("lines_removed").alias("n_removed"),
+        F.col("line_runs_removed").alias("n_runs"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(_table(spark, sf_dir, "documents"), 16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.judge(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality_score")
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = sentencepiece.encode(docs, public_tokenizers.path(TOKENIZER), decoded=True)
@@ -48,6 +76,6 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_sentencepiece, op8_simhash, op9_decontaminate)
+    f.__name__: f for f in (op1_html, op2_line_dedup, op4_sharding, op6_quality, op7_sentencepiece, op8_simhash, op9_decontaminate)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_line_dedup": linededup.SQL, "op4_sharding": sharding.SQL}
