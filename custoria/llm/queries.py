@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custoria.llm import decontaminate, html, linededup, quality, sentencepiece, sharding, simhash
+from custoria.llm import ctw, decontaminate, html, linededup, quality, sentencepiece, sharding, simhash
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -75,7 +75,12 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ctw.scores(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html, op2_line_dedup, op4_sharding, op6_quality, op7_sentencepiece, op8_simhash, op9_decontaminate)
+    f.__name__: f for f in (op1_html, op2_line_dedup, op4_sharding, op6_quality, op7_sentencepiece, op8_simhash, op9_decontaminate, op10_ctw)
 }
 ORACLES: dict[str, str] = {"op2_line_dedup": linededup.SQL, "op4_sharding": sharding.SQL}
