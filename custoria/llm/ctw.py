@@ -22,37 +22,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custoria.llm.common import as_bytes
+from custoria.llm.blocks import dealt, packed, record, steps, stored, unpacked
 from custoria.session import materialize
 
 DEPTH, TOP = 5, 2
-#: Bytes of a block (its last document may go beyond) and positions that are worked on at once.
-BLOCK, SLICE = 10 << 20, 1 << 21
+#: Positions that are worked on at once.
+SLICE = 1 << 20
 END = b"\n"
 GRAM, WORD = 0, 1
 
 
-# ---- packed arrays
-
-def _packed(values: np.ndarray) -> bytes:
-    """Integers as compressed bytes, equal byte places together."""
-    raw = np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8).T
-    return pa.compress(np.ascontiguousarray(raw).tobytes(), codec="zstd", asbytes=True)
-
-
-def _unpacked(data: bytes, n: int) -> np.ndarray:
-    raw = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
-    return np.ascontiguousarray(raw.T).view("<u8").ravel()
-
-
-def _steps(keys: np.ndarray) -> np.ndarray:
-    return np.diff(keys, prepend=np.uint64(0))
-
-
 # ---- strings and words of a block
 
 def _stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -131,12 +113,9 @@ def _block_words(texts: list[bytes], held: list[bool]) -> tuple[dict[bytes, int]
     return named, keys, counts
 
 
-def _dealt(keys: np.ndarray, kind: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of each key, and the order by bucket in which keys stay sorted."""
-    part = keys >> np.uint64(8 * (DEPTH - 2)) if kind == GRAM else keys
-    mixed = part * np.uint64(0x9E3779B97F4A7C15)
-    bucket = ((mixed ^ (mixed >> np.uint64(32))) % np.uint64(buckets)).astype(np.int64)
-    return bucket, np.argsort(bucket, kind="stable")
+def _part(keys: np.ndarray, kind: int) -> np.ndarray:
+    """What decides the bucket of a key: the last three bytes of context, or the whole word."""
+    return keys >> np.uint64(8 * (DEPTH - 2)) if kind == GRAM else keys
 
 
 # ---- the tree
@@ -239,59 +218,35 @@ def _logs(keys: np.ndarray, local: dict[int, Level], top: dict[int, Level]) -> n
 
 # ---- Spark steps
 
-def _blocks(df: DataFrame, id_column: str, column: str) -> DataFrame:
-    """Stored (id, held, block, body): lower-cased words joined by one space, in blocks of bounded size."""
-    kept = df.select(F.col(id_column).alias("id"), F.col(column).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() << 24
-        block = size = 0
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                bodies = [b" ".join((t or b"").lower().split()) for t in as_bytes(part.column(1))]
-                numbers = []
-                for body in bodies:
-                    if size >= BLOCK:
-                        block, size = block + 1, 0
-                    numbers.append(first + block)
-                    size += len(body) + 1
-                held = [zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i in part.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(held), pa.array(numbers, pa.int64()), pa.array(bodies, pa.binary())], names=["id", "held", "block", "body"])
-
-    id_type = kept.schema["id"].dataType.simpleString()
-    return materialize(kept.mapInArrow(run, f"id {id_type}, held boolean, block long, body binary"))
+def _held(ids: list) -> list[bool]:
+    return [zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i in ids]
+
+
+def _body(text: bytes) -> bytes:
+    """Lower-cased words joined by one space."""
+    return b" ".join(text.lower().split())
+
+
+REQUEST = "kind int, bucket int, block long, n long, keys binary, counts binary"
+ANSWER = "block long, kind int, bucket int, n long, values binary"
 
 
 def _requests(blocks: DataFrame, buckets: int) -> DataFrame:
-    """Stored (kind, bucket, block, n, keys, counts): what each block holds, dealt to buckets."""
+    """Stored requests: the strings and words of each block with their training counts, dealt to buckets."""
 
-    def of_block(block: int, texts: list[bytes], held: list[bool]) -> pa.RecordBatch:
+    def run(table: pa.Table) -> pa.Table:
+        block, texts = table.column("block")[0].as_py(), table.column("body").to_pylist()
+        held = _held(table.column("id").to_pylist())
         rows = []
         _, words, word_counts = _block_words(texts, held)
         for kind, (keys, counts) in ((GRAM, _block_strings(texts, held)), (WORD, (words, word_counts))):
-            bucket, order = _dealt(keys, kind, buckets)
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            order, edges = dealt(_part(keys, kind), buckets)
             for b in np.flatnonzero(np.diff(edges)).tolist():
                 chosen = order[edges[b] : edges[b + 1]]
-                rows.append((kind, b, block, len(chosen), _packed(_steps(keys[chosen])), _packed(counts[chosen])))
-        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["kind", "bucket", "block", "n", "keys", "counts"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, texts, held = None, [], []
-        for batch in batches:
-            for block, body, out in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if block != now and texts:
-                    yield of_block(now, texts, held)
-                    texts, held = [], []
-                now = block
-                texts.append(body)
-                held.append(out)
-        if texts:
-            yield of_block(now, texts, held)
-
-    return materialize(blocks.select("block", "body", "held").mapInArrow(run, "kind int, bucket int, block long, n long, keys binary, counts binary"))
+                rows.append((kind, b, block, len(chosen), packed(steps(keys[chosen])), packed(counts[chosen])))
+        return record(rows, [x.split()[0] for x in REQUEST.split(", ")], [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()])
+
+    return materialize(blocks.groupBy("block").applyInArrow(run, REQUEST))
 
 
 def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
@@ -299,11 +254,10 @@ def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, dict[int, np.nda
     asked: dict[int, np.ndarray] = {}
     keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for n, block, k, c in zip(*(table.column(x).to_pylist() for x in ("n", "block", "keys", "counts"))):
-        own = _unpacked(k, n).cumsum(dtype=np.uint64)
+        own = unpacked(k, n).cumsum(dtype=np.uint64)
         keys.append(own)
-        counts.append(_unpacked(c, n).astype(np.int64))
-        # a block that was read in two pieces asks for the union
-        asked[block] = np.union1d(asked[block], own) if block in asked else own
+        counts.append(unpacked(c, n).astype(np.int64))
+        asked[block] = own
     return *_summed(np.concatenate(keys), np.concatenate(counts)), asked
 
 
@@ -342,18 +296,17 @@ def _answers(requests: DataFrame, top: dict[int, Level]) -> DataFrame:
         rows = []
         for block, own in asked.items():
             found = values[np.searchsorted(keys, own)]
-            rows.append((block, kind, bucket, len(own), _packed(found) if kind == WORD else found.tobytes()))
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["block", "kind", "bucket", "n", "values"])
+            rows.append((block, kind, bucket, len(own), packed(found) if kind == WORD else found.tobytes()))
+        return record(rows, [x.split()[0] for x in ANSWER.split(", ")], [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()])
 
-    return requests.groupBy("kind", "bucket").applyInArrow(run, "block long, kind int, bucket int, n long, values binary")
+    return requests.groupBy("kind", "bucket").applyInArrow(run, ANSWER)
 
 
 def _answered(table: pa.Table, kind: int, keys: np.ndarray, buckets: int) -> np.ndarray:
     """The answers of all buckets in the order of the block's sorted keys."""
     rows = sorted((b, n, v) for k, b, n, v in zip(*(table.column(x).to_pylist() for x in ("kind", "bucket", "n", "values"))) if k == kind)
-    parts = [_unpacked(v, n).astype(np.float64) if kind == WORD else np.frombuffer(v, "<f4").astype(np.float64) for _, n, v in rows]
-    _, order = _dealt(keys, kind, buckets)
+    parts = [unpacked(v, n).astype(np.float64) if kind == WORD else np.frombuffer(v, "<f4").astype(np.float64) for _, n, v in rows]
+    order, _ = dealt(_part(keys, kind), buckets)
     out = np.zeros(len(keys))
     out[order] = np.concatenate(parts) if parts else np.zeros(0)
     return out
@@ -369,8 +322,7 @@ def scores(df: DataFrame, id_column: str = "doc_id", column: str = "text") -> Da
     score is that of the words and the end under smoothed word counts. Repeated rows count and
     are scored each for itself. Without training rows every bit has probability 1/2.
     """
-    blocks = _blocks(df, id_column, column)
-    buckets = max(64, 2 * len(blocks.inputFiles()))
+    blocks, buckets = stored(df, id_column, column, _body)
     requests = _requests(blocks, buckets)
     sums = {w: ([], []) for w in "twNV"}
     for what, key, value in _sums(requests).toLocalIterator():
@@ -383,7 +335,7 @@ def scores(df: DataFrame, id_column: str = "doc_id", column: str = "text") -> Da
     answers = _answers(requests, top)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        texts, held = left.column("body").to_pylist(), left.column("held").to_pylist()
+        texts, held = left.column("body").to_pylist(), _held(left.column("id").to_pylist())
         stream, bounds = _stream(texts)
         keys, _ = _distinct(stream, bounds)
         logs = _answered(right, GRAM, keys, buckets)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custoria.llm import ctw, decontaminate, html, linededup, quality, sentencepiece, sharding, simhash
+from custoria.llm import ctw, decontaminate, html, linededup, quality, sentencepiece, sharding, simhash, suffixdedup
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -34,6 +34,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixdedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(_table(spark, sf_dir, "documents"), 16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -81,6 +86,6 @@ def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html, op2_line_dedup, op4_sharding, op6_quality, op7_sentencepiece, op8_simhash, op9_decontaminate, op10_ctw)
+    f.__name__: f for f in (op1_html, op2_line_dedup, op3_suffix_dedup, op4_sharding, op6_quality, op7_sentencepiece, op8_simhash, op9_decontaminate, op10_ctw)
 }
 ORACLES: dict[str, str] = {"op2_line_dedup": linededup.SQL, "op4_sharding": sharding.SQL}
