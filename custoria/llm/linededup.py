@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from custoria.session import materialize
+
 LINES, WORDS = 3, 50
 SPACES = " \t\r\n\f\x0b"
 #: A line break that is followed by a line with a word: blank lines stay with the line above.
@@ -63,7 +65,8 @@ def repeated_windows(df: DataFrame, id_column: str, column: str, lines: int = LI
             (w["e"] - F.array_position(F.reverse(run), low).cast("int") + 1).alias("at"),
         )
 
-    rows = windows.select("nulls", "id", "hash", F.inline(F.transform("w", described)))
+    # three passes read the windows: worked out once, they are narrow rows
+    rows = materialize(windows.select("nulls", "id", "hash", F.inline(F.transform("w", described))))
     # a fingerprint is a place; windows that share it count once
     marks = rows.select("nulls", "id", "hash", "at", "mark").distinct().groupBy("mark").agg(F.count("*").alias("places")).where("places > 1").select("mark")
     met = rows.drop("at").join(marks, "mark", "left_semi")
