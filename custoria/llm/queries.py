@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custoria.llm import ctw, decontaminate, html, linededup, quality, sentencepiece, sharding, simhash, suffixdedup
+from custoria.llm import ctw, decontaminate, html, linededup, quality, sentencepiece, sharding, simhash, suffixdedup, surrogates
 
 TOKENIZER = "piece_bpe_32k.model"
+#: Of the registered query only; an own secret is passed to the operator.
+SURROGATE_KEY = b"registered query"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +46,12 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = surrogates.replace(docs, SURROGATE_KEY)
+    return found.select("doc_id", "text", F.size("pii").cast("long").alias("n_entities"), F.array_join(F.array_sort(F.array_distinct(F.col("pii")["kind"])), ",").alias("kinds"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality.judge(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
@@ -86,6 +94,6 @@ def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html, op2_line_dedup, op3_suffix_dedup, op4_sharding, op6_quality, op7_sentencepiece, op8_simhash, op9_decontaminate, op10_ctw)
+    f.__name__: f for f in (op1_html, op2_line_dedup, op3_suffix_dedup, op4_sharding, op5_surrogates, op6_quality, op7_sentencepiece, op8_simhash, op9_decontaminate, op10_ctw)
 }
 ORACLES: dict[str, str] = {"op2_line_dedup": linededup.SQL, "op4_sharding": sharding.SQL}
