@@ -22,7 +22,7 @@ TOKENIZER = "piece_bpe_32k.model"
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and whose likelihood ratio reaches the fitted threshold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.judge(docs, quality.fit(docs, labels)).where("kept").select(COLUMNS)
+    return quality.keep(docs.select(COLUMNS), quality.fit(docs, labels))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -160,7 +160,8 @@ def judge(df: DataFrame, fitted: Fitted, column: str = "text") -> DataFrame:
     """``df`` with the base counts, ``base_failed``, ``quality_score`` and ``kept``.
 
     A null or empty text has no words: its counts are 0, its score is null and it is not kept.
-    Columns of these names are replaced.
+    Columns of these names are replaced. Use ``keep`` to filter: a filter right behind this
+    function would be moved below it and work everything out once more.
     """
     new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "quality_score", "kept"]
     plain = df.drop(*new)
@@ -169,3 +170,9 @@ def judge(df: DataFrame, fitted: Fitted, column: str = "text") -> DataFrame:
     scored = featured.withColumn("base_failed", base_failed()).withColumn("quality_score", _score(fitted.column(), buckets)).drop("_codes")
     verdict = F.lit(True) if fitted.threshold is None else F.col("quality_score") >= F.lit(fitted.threshold)
     return scored.withColumn("kept", ~F.col("base_failed") & F.coalesce(verdict, F.lit(False)))
+
+
+def keep(df: DataFrame, fitted: Fitted, column: str = "text") -> DataFrame:
+    """The rows of ``df`` that are kept; the judged rows are stored first."""
+    judged = materialize(judge(df, fitted, column).select(*df.columns, F.col("kept").alias("_kept")))
+    return judged.where("_kept").drop("_kept")
