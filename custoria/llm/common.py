@@ -24,6 +24,12 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def rows_of(df: DataFrame, **named: str) -> DataFrame:
+    """Each row of ``df`` whole in the column ``row``, next to single columns under names of the caller's
+    choice; so a column of the table never clashes with one that an operator adds."""
+    return df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), *[df[c].alias(n) for n, c in named.items()])
+
+
 def map_batches(df: DataFrame, columns: list[str], fn: Callable[[pa.RecordBatch], pa.RecordBatch], fields: list[T.StructField]) -> DataFrame:
     """``columns`` of ``df`` followed by what ``fn`` adds to each slice of a batch.
 

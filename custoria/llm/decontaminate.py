@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custoria.llm.common import as_bytes
+from custoria.llm.common import as_bytes, rows_of
 from custoria.session import materialize
 
 WINDOW = 13
@@ -293,18 +293,20 @@ def find(documents: DataFrame, benchmark: DataFrame, column: str = "text", item:
     A test set of more than one block is searched block by block; the result of each is
     stored and the lists are merged.
     """
+    columns = [c for c in documents.columns if c not in ("bench_words", "bench_spans", "bench_items")]
     searched = None
     for block in _blocks(benchmark.select(F.col(item).cast("string"), F.col(item_text))):
         if searched is None:
             searched = _search(documents, column, block, window)
             continue
-        stored = materialize(searched.withColumnsRenamed({"bench_spans": "_spans", "bench_items": "_items"}))
-        new = _search(stored, column, block, window)
+        before = rows_of(materialize(searched), searched_text=column)
+        new = _search(before, "searched_text", block, window)
+        old = F.col("row")
         searched = new.select(
-            *[c for c in stored.columns if c not in ("_spans", "_items", "bench_words")],
+            *[old[c].alias(c) for c in columns],
             "bench_words",
-            _joined(F.concat("_spans", "bench_spans")).alias("bench_spans"),
-            F.array_sort(F.array_distinct(F.concat("_items", "bench_items"))).alias("bench_items"),
+            _joined(F.concat(old["bench_spans"], F.col("bench_spans"))).alias("bench_spans"),
+            F.array_sort(F.array_distinct(F.concat(old["bench_items"], F.col("bench_items")))).alias("bench_items"),
         )
     return _search(documents, column, [], window) if searched is None else searched
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custoria.llm.common import as_bytes
+from custoria.llm.common import as_bytes, rows_of
 from custoria.session import materialize
 
 #: Branches below this importance go; hosts with fewer different pages have no say.
@@ -277,21 +277,19 @@ def main_text(df: DataFrame, url: str = "url", column: str = "html") -> DataFram
     would be left. Rows that are equal have equal results; columns of these names are replaced.
     """
     base = df.drop("main_text", "removed_nodes")
-    key = F.xxhash64(F.col(url), F.col(column))
-    pages = base.select(F.xxhash64(host_of(F.col(url))).alias("host"), key.alias("key"), F.coalesce(F.col(column), F.lit("")).alias("html"))
+    pages = base.select(F.xxhash64(host_of(F.col(url))).alias("host"), F.xxhash64(F.col(url), F.col(column)).alias("key"), F.coalesce(F.col(column), F.lit("")).alias("html"))
     nodes = materialize(_nodes(pages))
     low = style_tree(nodes).where(F.col("importance") < IMPORTANCE).select("host", "node")
     removed = nodes.select("host", "node", "key").distinct().join(low, ["host", "node"]).groupBy("key").agg(F.collect_set("node").alias("low"))
-    joined = base.withColumn("_key", key).join(removed.withColumnRenamed("key", "_low_key"), F.col("_key") == F.col("_low_key"), "left").drop("_key", "_low_key")
-    columns, names = joined.columns, [*base.columns, "main_text", "removed_nodes"]
+    whole = rows_of(base, html=column, url=url).select("row", "html", F.xxhash64("url", "html").alias("key"))
+    joined = whole.join(removed.withColumnRenamed("key", "low_key"), F.col("key") == F.col("low_key"), "left").select("row", "html", "low")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, lows = columns.index(column), columns.index("low")
         for batch in batches:
-            found = batch.column(lows).to_pylist()
-            texts = [_page(data).text(set(low or ())) for data, low in zip(as_bytes(batch.column(at)), found)]
-            kept = [batch.column(k) for k in range(len(columns)) if k != lows]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array([len(x or ()) for x in found], pa.int64())], names=names)
+            found = batch.column(2).to_pylist()
+            texts = [_page(data).text(set(low or ())) for data, low in zip(as_bytes(batch.column(1)), found)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array([len(x or ()) for x in found], pa.int64())], names=["row", "text", "low"])
 
-    schema = base.withColumn("main_text", F.lit("")).withColumn("removed_nodes", F.lit(0).cast("long")).schema
-    return joined.mapInArrow(run, schema)
+    schema = whole.select("row", F.lit("").alias("text"), F.lit(0).cast("long").alias("low")).schema
+    done = joined.mapInArrow(run, schema)
+    return done.select(*[F.col("row")[c].alias(c) for c in base.columns], F.col("text").alias("main_text"), F.col("low").alias("removed_nodes"))

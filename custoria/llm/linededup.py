@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from custoria.llm.common import rows_of
 from custoria.session import materialize
 
 LINES, WORDS = 3, 50
@@ -92,20 +93,21 @@ def dedup_lines(df: DataFrame, id_column: str = "doc_id", column: str = "text",
     """
     base = df.drop("line_count", "lines_removed", "line_runs_removed")
     found = repeated_windows(base, id_column, column, lines, words)
-    joined = base.withColumn("_hash", F.xxhash64(column)).join(
-        found,
-        (F.col(id_column).isNull() == F.col("_nulls")) & F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")),
-        "left",
+    whole = rows_of(base, id=id_column, text=column).withColumn("hash", F.xxhash64("text"))
+    joined = whole.join(
+        found, (F.col("id").isNull() == F.col("_nulls")) & F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_text")), "left"
     )
-    split = joined.withColumn("_lines", F.split(column, BREAK)).withColumn("_removed", F.array_sort("removed"))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_removed"))
-    left = F.when(F.size("_removed") >= F.size("_lines"), F.lit("")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n"))
-    runs = F.size(F.filter(F.col("_removed"), lambda i: ~F.array_contains("_removed", i - 1)))
+    split = joined.withColumn("lines", F.split("text", BREAK)).withColumn("gone", F.array_sort("removed"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    left = F.when(F.size("gone") >= F.size("lines"), F.lit("")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n"))
+    # runs begin at numbers that do not follow the one before them
+    runs = F.size(F.filter(F.transform("gone", lambda x, k: (k == 0) | (F.get("gone", k - 1) != x - 1)), lambda first: first))
+    none = F.lit(0).cast("long")
     return split.select(
-        *[(F.when(F.col("_removed").isNull(), F.col(c)).otherwise(left).alias(c) if c == column else df[c]) for c in base.columns],
-        F.when(F.length(F.trim(F.col(column), F.lit(SPACES))) > 0, F.size("_lines").cast("long")).otherwise(F.lit(0).cast("long")).alias("line_count"),
-        F.coalesce(F.size("removed").cast("long"), F.lit(0).cast("long")).alias("lines_removed"),
-        F.coalesce(F.when(F.col("_removed").isNotNull(), runs).cast("long"), F.lit(0).cast("long")).alias("line_runs_removed"),
+        *[(F.when(F.col("gone").isNull(), F.col("text")).otherwise(left) if c == column else F.col("row")[c]).alias(c) for c in base.columns],
+        F.when(F.length(F.trim("text", F.lit(SPACES))) > 0, F.size("lines").cast("long")).otherwise(none).alias("line_count"),
+        F.coalesce(F.size("gone").cast("long"), none).alias("lines_removed"),
+        F.coalesce(F.when(F.col("gone").isNotNull(), runs).cast("long"), none).alias("line_runs_removed"),
     )
 
 

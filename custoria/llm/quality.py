@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from math import log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from custoria.llm.common import rows_of
 from custoria.session import materialize
 
 #: Buckets of the hashed n-grams; the table of ratios is this long at any corpus size.
@@ -32,34 +34,31 @@ def _words(column: str) -> Column:
 
 
 def base_features(df: DataFrame, column: str = "text") -> DataFrame:
-    """``df`` with ``_codes`` (hash of each word) and the counts n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words."""
-    text = F.coalesce(F.col(column), F.lit(""))
-    named = df.withColumn("_words", _words(column)).withColumn("_lines", F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)))
-    coded = named.withColumn("_codes", F.transform("_words", lambda w: F.xxhash64(w)))
-    counted = coded.withColumn("_n", F.size("_codes"))
-    at = F.sequence(F.lit(0), F.greatest(F.col("_n") - 3, F.lit(0)))
-    threes = F.when(F.col("_n") >= 3, F.transform(at, lambda i: F.xxhash64(F.get("_codes", i), F.get("_codes", i + 1), F.get("_codes", i + 2))))
-    shingled = counted.withColumn("_threes", threes)
-    distinct = F.size(F.array_distinct("_threes"))
+    """(``row``, ``codes``, counts): each row of ``df`` with the hashes of its words and n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    named = rows_of(df, text=column).withColumn("words", _words("text")).withColumn("lines", F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)))
+    coded = named.withColumn("codes", F.transform("words", lambda w: F.xxhash64(w)))
+    counted = coded.withColumn("n", F.size("codes"))
+    at = F.sequence(F.lit(0), F.greatest(F.col("n") - 3, F.lit(0)))
+    threes = F.when(F.col("n") >= 3, F.transform(at, lambda i: F.xxhash64(F.get("codes", i), F.get("codes", i + 1), F.get("codes", i + 2))))
+    shingled = counted.withColumn("threes", threes)
+    distinct = F.size(F.array_distinct("threes"))
     # windows in the order of their hash, each with its place; equal ones stand side by side
-    placed = F.when(distinct < F.size("_threes"), F.array_sort(F.transform("_threes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
-    ordered = shingled.withColumn("_placed", placed)
+    placed = F.when(distinct < F.size("threes"), F.array_sort(F.transform("threes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
+    ordered = shingled.withColumn("placed", placed)
     twice = F.filter(
-        F.transform(
-            "_placed",
-            lambda x, k: F.when((x["h"] == F.get("_placed", k - 1)["h"]) | (x["h"] == F.get("_placed", k + 1)["h"]), x["i"]),
-        ),
+        F.transform("placed", lambda x, k: F.when((x["h"] == F.get("placed", k - 1)["h"]) | (x["h"] == F.get("placed", k + 1)["h"]), x["i"])),
         lambda i: i.isNotNull(),
     )
-    repeated = ordered.withColumn("_at", F.array_sort(twice))
-    covered = F.aggregate(F.transform("_at", lambda i, k: F.least(F.lit(3), F.coalesce(F.get("_at", k + 1) - i, F.lit(3)))), F.lit(0).cast("long"), lambda a, b: a + b)
+    repeated = ordered.withColumn("at", F.array_sort(twice))
+    covered = F.aggregate(F.transform("at", lambda i, k: F.least(F.lit(3), F.coalesce(F.get("at", k + 1) - i, F.lit(3)))), F.lit(0).cast("long"), lambda a, b: a + b)
     return repeated.select(
-        *[df[c] for c in df.columns],
-        "_codes",
-        F.col("_n").cast("long").alias("n_words"),
+        "row",
+        "codes",
+        F.col("n").cast("long").alias("n_words"),
         F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"),
     )
 
@@ -70,12 +69,12 @@ def base_failed() -> Column:
 
 
 def _score(ratios: Column, buckets: int) -> Column:
-    """Mean ratio over the words and word pairs in ``_codes``; null without words."""
+    """Mean ratio over the words and word pairs in ``codes``; null without words."""
     pairs = F.zip_with(
-        "_codes", F.slice("_codes", 2, F.greatest(F.size("_codes"), F.lit(1))),
+        "codes", F.slice("codes", 2, F.greatest(F.size("codes"), F.lit(1))),
         lambda a, b: F.get(ratios, F.pmod(a, F.lit(buckets)).cast("int")) + F.when(b.isNotNull(), F.get(ratios, F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int"))).otherwise(0.0),
     )
-    return F.when(F.size("_codes") > 0, F.aggregate(pairs, F.lit(0.0), lambda x, y: x + y) / (2 * F.size("_codes") - 1))
+    return F.when(F.size("codes") > 0, F.aggregate(pairs, F.lit(0.0), lambda x, y: x + y) / (2 * F.size("codes") - 1))
 
 
 @dataclass(frozen=True)
@@ -109,8 +108,9 @@ def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", column: str
     when no score tells the classes apart, nothing is rejected.
     """
     sample = F.broadcast(materialize(labelled_sample(labels, id_column, bound)))
-    tagged = df.select(id_column, column).join(sample, F.col(id_column) == F.col("_labelled"), "left")
-    words = tagged.select(F.coalesce((F.col("_quality") == 1) & F.col("_counted"), F.lit(False)).alias("trusted"), _words(column).alias("w"))
+    plain = df.select(df[id_column].alias("id"), df[column].alias("text"))
+    tagged = plain.join(sample, F.col("id") == F.col("_labelled"), "left")
+    words = tagged.select(F.coalesce((F.col("_quality") == 1) & F.col("_counted"), F.lit(False)).alias("trusted"), _words("text").alias("w"))
     pairs = words.select("trusted", F.explode(F.arrays_zip(F.col("w").alias("a"), F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))).alias("b"))).alias("p")).select("trusted", F.xxhash64("p.a").alias("a"), F.when(F.col("p.b").isNotNull(), F.xxhash64("p.b")).alias("b"))
     grams = pairs.select("trusted", F.explode(F.array(F.col("a"), F.when(F.col("b").isNotNull(), F.xxhash64("a", "b")))).alias("g")).where("g IS NOT NULL")
     counts = grams.groupBy("trusted", F.pmod("g", F.lit(buckets)).alias("bucket")).agg(F.count("*").alias("n")).collect()
@@ -121,12 +121,10 @@ def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", column: str
             good[bucket] = n
     if not sum(good):
         return Fitted([0.0], None)
-    from math import log
-
     all_good, all_raw = sum(good) + SMOOTHING * buckets, sum(raw) + SMOOTHING * buckets
     ratios = [round(log((g + SMOOTHING) / all_good) - log((r + SMOOTHING) / all_raw), 9) for g, r in zip(good, raw)]
-    shown = df.select(id_column, column).join(sample.where("NOT _counted"), F.col(id_column) == F.col("_labelled")).select("_quality", _words(column).alias("_words"))
-    coded = shown.select("_quality", F.transform("_words", lambda w: F.xxhash64(w)).alias("_codes")).where(F.size("_codes") >= 50)
+    shown = plain.join(sample.where("NOT _counted"), F.col("id") == F.col("_labelled")).select("_quality", _words("text").alias("_words"))
+    coded = shown.select("_quality", F.transform("_words", lambda w: F.xxhash64(w)).alias("codes")).where(F.size("codes") >= 50)
     scored = coded.select("_quality", F.floor(_score(Fitted(ratios, None).column(), buckets) * GRID).alias("cell"))
     histogram = sorted((cell, quality, n) for quality, cell, n in scored.groupBy("_quality", "cell").agg(F.count("*").alias("n")).collect())
     return Fitted(ratios, _threshold(histogram))
@@ -166,13 +164,14 @@ def judge(df: DataFrame, fitted: Fitted, column: str = "text") -> DataFrame:
     new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "quality_score", "kept"]
     plain = df.drop(*new)
     featured = base_features(plain, column)
-    buckets = len(fitted.ratios)
-    scored = featured.withColumn("base_failed", base_failed()).withColumn("quality_score", _score(fitted.column(), buckets)).drop("_codes")
-    verdict = F.lit(True) if fitted.threshold is None else F.col("quality_score") >= F.lit(fitted.threshold)
-    return scored.withColumn("kept", ~F.col("base_failed") & F.coalesce(verdict, F.lit(False)))
+    scored = featured.withColumn("base_failed", base_failed()).withColumn("quality_score", _score(fitted.column(), len(fitted.ratios)))
+    verdict = F.lit(True) if fitted.threshold is None else F.coalesce(F.col("quality_score") >= F.lit(fitted.threshold), F.lit(False))
+    judged = scored.withColumn("kept", ~F.col("base_failed") & verdict)
+    return judged.select(*[F.col("row")[c].alias(c) for c in plain.columns], *new)
 
 
 def keep(df: DataFrame, fitted: Fitted, column: str = "text") -> DataFrame:
     """The rows of ``df`` that are kept; the judged rows are stored first."""
-    judged = materialize(judge(df, fitted, column).select(*df.columns, F.col("kept").alias("_kept")))
-    return judged.where("_kept").drop("_kept")
+    columns = df.columns
+    judged = materialize(judge(rows_of(df, text=column), fitted).select("row", "kept"))
+    return judged.where("kept").select(*[F.col("row")[c].alias(c) for c in columns])

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custoria.llm.common import as_bytes, components, map_batches
+from custoria.llm.common import as_bytes, components, map_batches, rows_of
 from custoria.session import materialize
 
 WORDS, BITS = 3, 2
@@ -117,8 +117,7 @@ def grouped_bits(both: np.ndarray, n: int, parts: int) -> tuple[tuple[int, ...],
 
 def part_value(column, bits: tuple[int, ...]):
     """The bits of a part, in place."""
-    mask = sum(1 << b for b in bits)
-    return column.bitwiseAND(F.lit(mask - (1 << 64) if mask >= 1 << 63 else mask))
+    return column.bitwiseAND(F.lit(_mask(set(bits))))
 
 
 def allocate(estimates: list[list[float]], bits: int) -> tuple[float, tuple[int, ...]]:
@@ -172,56 +171,47 @@ def plan(prints: DataFrame, bits: int = BITS) -> Plan:
     return chosen
 
 
+def _mask(bits: set[int]) -> int:
+    """The bits as a signed long."""
+    value = sum(1 << b for b in bits)
+    return value - (1 << 64) if value >= 1 << 63 else value
+
+
 def _probes(prints: DataFrame, chosen: Plan) -> DataFrame:
-    """(part, value, simhash, probing) rows: each fingerprint at its value of every part, and
-    as a probe at the values around it where the threshold is above zero."""
-    rows = []
-    for i, (group, threshold) in enumerate(zip(chosen.parts, chosen.thresholds)):
-        for size in range(threshold + 1):
-            for flipped in combinations(group, size):
-                mask = sum(1 << b for b in flipped)
-                rows.append((i, mask - (1 << 64) if mask >= 1 << 63 else mask, size > 0))
-    used = sorted({i for i, _, _ in rows})
-    value = F.coalesce(*[F.when(F.col("part") == i, part_value(F.col("simhash"), chosen.parts[i])) for i in used])
-    probes = prints.select("simhash", F.inline(F.array(*[F.struct(F.lit(i).alias("part"), F.lit(m).cast("long").alias("mask"), F.lit(p).alias("probing")) for i, m, p in rows])))
-    return probes.select(F.xxhash64("part", value.bitwiseXOR(F.col("mask"))).alias("meeting"), "part", "simhash", "probing")
-
-
-def _split(rows: DataFrame, chosen: Plan, bits: int) -> DataFrame:
+    """(meeting, left, simhash) rows: each fingerprint at its value of every part and, where the threshold
+    is above zero, at the values around it; ``left`` are the bits outside the part."""
+    rows = [
+        (i, _mask(set(flipped)))
+        for i, (group, threshold) in enumerate(zip(chosen.parts, chosen.thresholds))
+        for size in range(threshold + 1)
+        for flipped in combinations(group, size)
+    ]
+    used = sorted({i for i, _ in rows})
+    part = lambda make: F.coalesce(*[F.when(F.col("part") == i, make(chosen.parts[i])) for i in used])
+    probes = prints.select("simhash", F.inline(F.array(*[F.struct(F.lit(i).alias("part"), F.lit(m).cast("long").alias("mask")) for i, m in rows])))
+    value = part(lambda bits: part_value(F.col("simhash"), bits)).bitwiseXOR(F.col("mask"))
+    return probes.select(F.xxhash64("part", value).alias("meeting"), part(lambda bits: F.lit(_mask(set(range(64)) - set(bits)))).alias("left"), "simhash")
+
+
+def _split(rows: DataFrame, bits: int) -> DataFrame:
     """Meetings of more than MEETING fingerprints split again by the pigeonhole principle.
 
-    Fingerprints that meet differ in at most ``bits`` of the other parts' bits; these are dealt to
-    bits + 1 smaller parts, in at least one of which two near fingerprints agree. Each further
-    level does the same with the bits that are left, until meetings are small or the bits are used up.
+    Fingerprints that meet differ in at most ``bits`` of the bits that are left. Each level deals these to
+    bits + 1 groups, by a digit of the bit's number; in one of them at least two near fingerprints
+    agree. When the digits are used up, few bits are left and so few distinct fingerprints can meet.
     """
-    done = []
-    left = {i: [b for b in range(64) if b not in group] for i, group in enumerate(chosen.parts)}
-    while True:
-        counts = rows.groupBy("meeting").agg(F.count("*").alias("n")).where(F.col("n") > MEETING).select("meeting")
-        hot = materialize(counts)
+    done, base, level = [], bits + 1, 0
+    while base**level < 64:
+        hot = materialize(rows.groupBy("meeting").agg(F.count("*").alias("n")).where(F.col("n") > MEETING).select("meeting"))
         if hot.isEmpty():
-            return _union([*done, rows])
+            break
         done.append(rows.join(hot, "meeting", "left_anti"))
-        large = rows.join(hot, "meeting", "left_semi")
-        pieces, after = [], {}
-        parts = {int(r[0]) for r in large.select("part").distinct().collect()}
-        for i in parts:
-            remaining = left[i]
-            if len(remaining) <= bits:
-                done.append(large.where(F.col("part") == i))
-                continue
-            for k in range(bits + 1):
-                group = tuple(remaining[k :: bits + 1])
-                name = (i + 1) * 8 + k
-                after[name] = [b for b in remaining if b not in group]
-                pieces.append(
-                    large.where(F.col("part") == i).select(
-                        F.xxhash64("meeting", F.lit(name), part_value(F.col("simhash"), group)).alias("meeting"), F.lit(name).alias("part"), "simhash", "probing"
-                    )
-                )
-        if not pieces:
-            return _union(done)
-        rows, left = materialize(_union(pieces)), after
+        groups = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(_mask({b for b in range(64) if b // base**level % base == k})).alias("mask")) for k in range(base)])
+        large = rows.join(hot, "meeting", "left_semi").select("meeting", "left", "simhash", F.inline(groups))
+        mask = F.col("left").bitwiseAND(F.col("mask"))
+        rows = materialize(large.select(F.xxhash64("meeting", "k", F.col("simhash").bitwiseAND(mask)).alias("meeting"), F.col("left").bitwiseAND(F.bitwise_not(mask)).alias("left"), "simhash"))
+        level += 1
+    return _union([*done, rows])
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -300,7 +290,7 @@ def _verify(rows: DataFrame, bits: int) -> DataFrame:
 def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
     """Links (a, b) that connect the same distinct fingerprints as all pairs within ``bits`` do."""
     chosen = plan(prints, bits)
-    return _verify(_split(materialize(_probes(prints, chosen)), chosen, bits), bits)
+    return _verify(_split(materialize(_probes(prints, chosen)), bits), bits)
 
 
 def classes(df: DataFrame, id_column: str = "doc_id", column: str = "text", words: int = WORDS, bits: int = BITS) -> DataFrame:
@@ -325,8 +315,10 @@ def keep_first(df: DataFrame, id_column: str = "doc_id", column: str = "text", w
     Rows with that same id and equal columns cannot be told apart; all but one of them go. A
     row whose id is null stays, as nothing names it as a copy.
     """
+    columns = df.columns
     found = classes(df, id_column, column, words, bits)
-    keep = found.where(F.col(id_column) == F.col("component_id")).select(F.col(id_column).alias("_id")).distinct()
-    first = F.row_number().over(Window.partitionBy(id_column).orderBy(F.xxhash64(*df.columns))) == 1
-    kept = df.join(keep, df[id_column] == keep["_id"], "left_semi").withColumn("_first", first).where("_first").drop("_first")
-    return kept.unionByName(df.where(F.col(id_column).isNull()))
+    keep = found.where(F.col(id_column) == F.col("component_id")).select(F.col(id_column).alias("first")).distinct()
+    whole = rows_of(df, id=id_column)
+    chosen = whole.join(keep, F.col("id") == F.col("first"), "left_semi").withColumn("tie", F.xxhash64("row"))
+    once = chosen.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy("tie"))).where("n = 1").select("row")
+    return once.unionByName(whole.where("id IS NULL").select("row")).select(*[F.col("row")[c].alias(c) for c in columns])

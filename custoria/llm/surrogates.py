@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custoria.llm.common import as_bytes
+from custoria.llm.common import as_bytes, rows_of
 from custoria.session import materialize
 
 #: Draws of one entity before the job gives up.
@@ -335,15 +335,14 @@ def replace(df: DataFrame, key: bytes, id_column: str = "doc_id", column: str =
     chosen = assign(entities, key)
     lists = mentions.join(chosen, ["kind", "name"]).groupBy("id", "hash").agg(F.array_sort(F.collect_list(F.struct("begin", "end", "kind", "surrogate"))).alias("pii"))
     lists = lists.select(F.col("id").alias("_id"), F.col("hash").alias("_hash"), "pii")
-    joined = base.join(lists, base[id_column].eqNullSafe(F.col("_id")) & (F.xxhash64(base[column]) == F.col("_hash")), "left").drop("_id", "_hash")
-    columns, place = joined.columns, joined.columns.index(column)
-    plain = "array<struct<kind:string,begin:int,end:int>>"
+    whole = rows_of(base, id=id_column, text=column)
+    joined = whole.join(lists, F.col("id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left").select("row", "text", "pii")
     listed = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, kinds = as_bytes(batch.column(place)), []
-            for k, own in enumerate(batch.column(len(columns) - 1).to_pylist()):
+            texts, kinds = as_bytes(batch.column(1)), []
+            for k, own in enumerate(batch.column(2).to_pylist()):
                 if own:
                     text, at, out = texts[k].decode(), 0, []
                     for m in own:
@@ -351,8 +350,8 @@ def replace(df: DataFrame, key: bytes, id_column: str = "doc_id", column: str =
                         at = m["end"]
                     texts[k] = "".join([*out, text[at:]]).encode()
                 kinds.append([{x: m[x] for x in ("kind", "begin", "end")} for m in own or ()])
-            arrays = [*batch.columns[:-1], pa.array(kinds, listed)]
-            arrays[place] = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays(arrays, names=columns)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(kinds, listed)], names=["row", "text", "pii"])
 
-    return joined.mapInArrow(run, base.withColumn("pii", F.lit(None).cast(plain)).schema)
+    schema = whole.select("row", "text", F.lit(None).cast("array<struct<kind:string,begin:int,end:int>>").alias("pii")).schema
+    done = joined.mapInArrow(run, schema)
+    return done.select(*[(F.col("text") if c == column else F.col("row")[c]).alias(c) for c in base.columns], "pii")
