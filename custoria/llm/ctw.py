@@ -276,7 +276,7 @@ def _sums(requests: DataFrame) -> DataFrame:
         ids, mixed = local[TOP + 1].above()
         nodes, place = np.unique(ids, return_inverse=True)
         return pa.table({
-            "what": ["t"] * len(top) + ["w"] * len(nodes),
+            "what": pa.array(["t"] * len(top) + ["w"] * len(nodes), pa.string()),
             "key": pa.array(np.concatenate([top, nodes]).astype(np.int64)),
             "value": pa.array(np.concatenate([n.astype(float), np.bincount(place, weights=mixed, minlength=len(nodes))])),
         })
@@ -360,7 +360,7 @@ def scores(df: DataFrame, id_column: str = "doc_id", column: str = "text") -> Da
             seen.append(int((counts > 0).sum()))
             base.append(float(np.log10((counts + 0.1) / (total + 0.1 * (distinct + 1))).sum()))
         return pa.table({
-            "id": left.column("id"), "held_out": pa.array(held), "n_bytes": pa.array(sizes), "n_tokens": pa.array(tokens, pa.int64()), "n_known": pa.array(seen, pa.int64()),
+            "id": left.column("id"), "held_out": pa.array(held, pa.bool_()), "n_bytes": pa.array(sizes), "n_tokens": pa.array(tokens, pa.int64()), "n_known": pa.array(seen, pa.int64()),
             "train_tokens": pa.array([int(total)] * len(texts), pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(score), "bits_per_byte": pa.array(-score * np.log2(10.0) / sizes),
         })
 
