@@ -34,6 +34,14 @@ def split_stratified(spark, sf):
     return _split(spark, sf)
 
 
+@query("split_stratified_folds", oracle("customers", """
+SELECT customer_id, churned, CASE WHEN r <= n // 5 THEN 0 WHEN r <= 2 * n // 5 THEN 1 WHEN r <= 3 * n // 5 THEN 2 WHEN r <= 4 * n // 5 THEN 3 ELSE 4 END AS fold
+FROM (SELECT customer_id, churned, row_number() OVER (PARTITION BY churned ORDER BY md5(customer_id || '|42'), customer_id) AS r,
+  count(*) OVER (PARTITION BY churned) AS n FROM customers WHERE churned IS NOT NULL)"""))
+def split_stratified_folds(spark, sf):
+    return P.with_folds(V.customers(spark, sf).select("customer_id", "churned"), "churned", "customer_id", 5)
+
+
 @query("split_report", oracle("customers", f"""
 SELECT split, churned AS class, n, split_rows, {r4("split_rows / (SELECT count(*) FROM customers)", "split_share")}, {r4("n / split_rows", "class_share")}
 FROM (SELECT split, churned, count(*) AS n FROM parts GROUP BY ALL) JOIN (SELECT split, count(*) AS split_rows FROM parts GROUP BY split) USING (split)""", parts=SPLIT))

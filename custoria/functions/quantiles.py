@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from custoria.session import materialize
 
 BOUNDED_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000_000
 SKETCH_ACCURACY = 10_000
 
 
@@ -31,14 +30,15 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column: {column: probabilities} -> {column: values}.
 
-    ``counts`` may give the known non-null rows per column, which saves counting them.
+    Nulls and NaN are left out. ``counts`` may give an upper bound of the rows per column, such as
+    its non-null rows; where that is small it saves a counting pass.
     """
     columns = list(wanted)
     if not columns:
         return {}
     values = df.select([_clean(F.col(f"`{c}`")).alias(f"v{i}") for i, c in enumerate(columns)])
     long = values.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"v{i}").alias("v")) for i in range(len(columns))])))
-    if counts is not None:
+    if counts is not None and max(counts[c] for c in columns) <= bounded_rows:
         sizes = [counts[c] for c in columns]
     else:
         found = {r["i"]: r["n"] for r in long.where("v is not null").groupBy("i").agg(F.count("*").alias("n")).collect()}
@@ -66,6 +66,55 @@ def exact_quantiles(
     }
 
 
+def known_counts(df: DataFrame, columns: list[str]) -> dict[str, int]:
+    """Rows per column that are neither null nor NaN."""
+    if not columns:
+        return {}
+    return df.agg(*[F.count(_clean(F.col(f"`{c}`"))).alias(c) for c in columns]).first().asDict()
+
+
+def even_quantiles(df: DataFrame, points: dict[str, int], bounded_rows: int = BOUNDED_ROWS) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles at ``points`` even probabilities from 0 to 1 per column, exact at any size.
+
+    Beyond the bound, the values are counted and their counts added up in order without a single
+    sorting task; each value then names the grid points whose rank it covers, so at most two
+    rows per grid point come back.
+    """
+    from custoria.functions.ranking import running_totals
+
+    columns, sizes = list(points), known_counts(df, list(points))
+    if max(sizes.values(), default=0) <= bounded_rows:
+        return exact_quantiles(df, {c: [i / max(1, p - 1) for i in range(p)] for c, p in points.items()}, bounded_rows, sizes)
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), _clean(F.col(f"`{c}`")).alias("v")) for i, c in enumerate(columns)])
+    counted = df.select(F.inline(pairs)).where("v is not null").groupBy("i", "v").agg(F.count("*").alias("n"))
+    running = running_totals(counted, ["v"], ["n"], ["i"], bounded_rows)
+
+    def of_column(values: list[int]) -> Column:
+        return F.element_at(F.array(*[F.lit(x).cast("bigint") for x in values]), F.col("i") + 1)
+
+    # the ranks of grid point j lie around j * (rows - 1) / (points - 1); whole numbers keep this exact
+    steps, last = of_column([max(1, p - 1) for p in points.values()]), of_column([max(1, sizes[c] - 1) for c in columns])
+    low, high = F.col("run_n") - F.col("n"), F.col("run_n")
+    named = running.withColumns({"_s": steps, "_l": last, "_a": low, "_b": high})
+    ranges = {
+        "floor": ("(_a * _s + _l - 1) div _l", "least((_b * _s + _l - 1) div _l - 1, _s)"),
+        "ceil": ("if(_a = 0, 0, ((_a - 1) * _s) div _l + 1)", "least(((_b - 1) * _s) div _l, _s)"),
+    }
+    grid: dict[tuple[int, int], dict[str, float]] = {}
+    for side, (first, final) in ranges.items():
+        hits = named.withColumns({"_f": F.expr(first), "_t": F.expr(final)}).where("_f <= _t")
+        for r in hits.select("i", "v", F.explode(F.sequence("_f", "_t")).alias("j")).collect():
+            grid.setdefault((r["i"], r["j"]), {})[side] = r["v"]
+    out: dict[str, list[float | None]] = {}
+    for i, (c, p) in enumerate(points.items()):
+        out[c] = []
+        for j in range(p):
+            ends = grid.get((i, j))
+            share = (j * (sizes[c] - 1)) % max(1, p - 1) / max(1, p - 1)
+            out[c].append(None if ends is None else ends["floor"] + (ends["ceil"] - ends["floor"]) * share)
+    return out
+
+
 def _inside(slot: dict) -> Column:
     return F.col(slot["column"]).between(F.lit(slot["low"]), F.lit(slot["high"]))
 
@@ -143,13 +192,11 @@ def _pick(values: DataFrame, slots: dict) -> dict:
 def hot_groups(df: DataFrame, keys: list[str], bounded_rows: int = BOUNDED_ROWS) -> DataFrame | None:
     """Keys of the groups too large for one task's value map; None when there are none.
 
-    The limit rises with the table so that never more than MAX_HOT_KEYS keys are hot.
+    The bound is the same for any table; the number of such keys is the rows over the bound at most.
     """
-    rows = df.count()
-    limit = max(bounded_rows, rows // MAX_HOT_KEYS)
-    if rows <= limit:
+    if df.count() <= bounded_rows:
         return None
-    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit).drop("_n")
+    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > bounded_rows).drop("_n")
     hot = materialize(hot.withColumn("_hot", F.lit(True)))
     return None if hot.isEmpty() else hot
 
@@ -165,14 +212,13 @@ def aggregate_with_medians(
     hot = hot_groups(df, keys, bounded_rows) if medians else None
     if hot is None:
         return df.groupBy(*keys).agg(*aggregates, *[F.median(_clean(F.col(c))).alias(a) for a, c in medians.items()])
-    # at most MAX_HOT_KEYS keys, hence broadcast
-    flagged = df.join(F.broadcast(hot), keys, "left")
+    flagged = df.join(hot, keys, "left")
     cold = [F.median(F.when(F.col("_hot").isNull(), _clean(F.col(c)))).alias(a) for a, c in medians.items()]
     out = flagged.groupBy(*keys).agg(*aggregates, *cold)
     for alias, column in medians.items():
         found = _hot_median(flagged.where("_hot"), keys, column).withColumnRenamed("_median", "_hot_median")
         out = (
-            out.join(F.broadcast(found), keys, "left")
+            out.join(found, keys, "left")
             .withColumn(alias, F.coalesce(alias, "_hot_median"))
             .drop("_hot_median")
         )
@@ -191,18 +237,18 @@ def _hot_median(rows: DataFrame, keys: list[str], column: str, rounds: int = 2)
     for _ in range(rounds):
         state = materialize(state)
         slack = 2.0 / SKETCH_ACCURACY
-        grid = base.join(F.broadcast(state), keys).where("_v between _low and _high")
+        grid = base.join(state, keys).where("_v between _low and _high")
         # the sketch takes constant ranks only, so ask for an even grid and pick the bracket
         ranks = [i / 1000 for i in range(1001)]
         sketch = grid.groupBy(*keys).agg(F.percentile_approx("_v", ranks, SKETCH_ACCURACY).alias("_grid"))
         at_low = F.greatest(F.lit(0), F.floor(((first - F.col("_below")) / F.col("_in") - slack) * 1000)).cast("int")
         at_high = F.least(F.lit(1000), F.ceil(((last + 1 - F.col("_below")) / F.col("_in") + slack) * 1000)).cast("int")
-        narrowed = state.join(F.broadcast(sketch), keys).select(
+        narrowed = state.join(sketch, keys).select(
             *keys, "_n", F.col("_below").alias("_below0"), F.col("_in").alias("_in0"),
             F.col("_low").alias("_low0"), F.col("_high").alias("_high0"),
             F.element_at("_grid", at_low + 1).alias("_low"), F.element_at("_grid", at_high + 1).alias("_high"),
         )
-        counted = base.join(F.broadcast(narrowed), keys).groupBy(*keys).agg(
+        counted = base.join(materialize(narrowed), keys).groupBy(*keys).agg(
             F.first("_n").alias("_n"),
             *[F.first(c).alias(c) for c in ("_below0", "_in0", "_low0", "_high0", "_low", "_high")],
             F.count_if(F.col("_v") < F.col("_low")).alias("_below"),
@@ -213,7 +259,7 @@ def _hot_median(rows: DataFrame, keys: list[str], column: str, rounds: int = 2)
             *keys, "_n", *[F.when(covers, F.col(c)).otherwise(F.col(f"{c}0")).alias(c) for c in ("_below", "_in", "_low", "_high")]
         )
     state = materialize(state)
-    inside = base.join(F.broadcast(state), keys).where("_v between _low and _high")
+    inside = base.join(state, keys).where("_v between _low and _high")
     counts = inside.groupBy(*keys, "_v", "_n", "_below").agg(F.count("*").alias("_c"))
     upto = F.col("_below") + F.sum("_c").over(W.partitionBy(*keys).orderBy("_v"))
     walked = counts.withColumn("_upto", upto)

@@ -69,7 +69,10 @@ def _classes(df: DataFrame) -> tuple:
 
 def undersample_random(df: DataFrame, seed: int = SEED) -> DataFrame:
     """As many rows of every class as the smallest has, the first in md5 order."""
+    df = df.where(F.col("label").isNotNull())  # rows without a label are of no class
     counts = class_counts(df, "label")
+    if not counts:
+        return df
     size = min(counts.values())
     parts = {c: [("keep", size)] for c in counts}
     return cut_classes(df, "label", "id", parts, "drop", seed, "_part", counts).where("_part = 'keep'").drop("_part")
@@ -251,7 +254,7 @@ def balance_adaptive(df: DataFrame) -> DataFrame:
 
 def balance_cv(df: DataFrame, methods: list[str], folds: int = 5, trees: int = 100, seed: int = SEED) -> DataFrame:
     """Mean and deviation of AUC and F1 per method; only the training folds are balanced."""
-    data = materialize(with_folds(df, "id", folds, seed))
+    data = materialize(with_folds(df, "label", "id", folds, seed))
     rows = []
     for method in methods:
         for fold in range(folds):

@@ -51,8 +51,8 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
     return out.withColumn("entropy", F.sum("_bits").over(whole)).drop("_bits")
 
 
-def numeric_profile(df: DataFrame, columns: list[str] | None = None, target: str | None = None, limit: int = 50) -> DataFrame:
-    """Moments, quartiles, zeros and distinct values of the first ``limit`` numeric columns."""
+def numeric_profile(df: DataFrame, columns: list[str] | None = None, target: str | None = None, limit: int | None = None) -> DataFrame:
+    """Moments, quartiles, zeros and distinct values of the numeric columns, or of the first ``limit``."""
     columns = (columns or numeric_columns(df, {target}))[:limit]
     moments = numeric_moments(df, columns, ("count", "mean", "std", "min", "max", "skewness", "kurtosis", "zeros"))
     quartiles = exact_quantiles(df, {c: [0.25, 0.5, 0.75] for c in columns}, counts={c: moments[c]["count"] for c in columns})
@@ -67,8 +67,8 @@ def numeric_profile(df: DataFrame, columns: list[str] | None = None, target: str
     )
 
 
-def categorical_profile(df: DataFrame, columns: list[str] | None = None, limit: int = 20, top: int = 10) -> DataFrame:
-    """The ``top`` values of the first ``limit`` text columns, with distinct, missing and the mode."""
+def categorical_profile(df: DataFrame, columns: list[str] | None = None, limit: int | None = None, top: int = 10) -> DataFrame:
+    """The ``top`` values of the text columns (or the first ``limit``), with distinct, missing and the mode."""
     columns = (columns or string_columns(df, {KEY}))[:limit]
     counts = value_frequencies(df, columns)
     nulls = measure(df, {c: F.count_if(F.col(c).isNull()) for c in columns})
@@ -150,7 +150,7 @@ def _classes(df: DataFrame, target: str) -> list:
     return sorted(r[0] for r in found)
 
 
-def chi_square_tests(df: DataFrame, target: str, columns: list[str] | None = None, limit: int = 10) -> DataFrame:
+def chi_square_tests(df: DataFrame, target: str, columns: list[str] | None = None, limit: int | None = None) -> DataFrame:
     """Independence of each text column and the target; 2x2 tables with continuity correction."""
     columns = (columns or string_columns(df, {KEY}))[:limit]
     classes = _classes(df, target)
@@ -180,8 +180,8 @@ def chi_square_tests(df: DataFrame, target: str, columns: list[str] | None = Non
     )
 
 
-def t_tests(df: DataFrame, target: str, columns: list[str] | None = None, limit: int = 10) -> DataFrame:
-    """Pooled-variance t of the two classes for the first ``limit`` numeric columns, in one job."""
+def t_tests(df: DataFrame, target: str, columns: list[str] | None = None, limit: int | None = None) -> DataFrame:
+    """Pooled-variance t of the two classes for the numeric columns (or the first ``limit``), in one job."""
     columns = [c for c in (columns or numeric_columns(df))[:limit] if c != target]
     seen = numeric_moments(df.where(F.col(target).isin(0, 1)), columns, ("count", "mean", "var_pop"), [target])
     none, rows = {"count": 0, "mean": None, "var_pop": None}, []

@@ -8,8 +8,6 @@ from pyspark.sql import types as T
 
 from custoria.functions.columns import adjusted_kurtosis, adjusted_skewness, to_long
 
-PAIRS_PER_JOB = 500
-
 
 def measure(df: DataFrame, measures: dict[str, Column]) -> dict:
     """All named aggregates in one job."""
@@ -77,31 +75,41 @@ def correlations_with(df: DataFrame, target: str, columns: list[str]) -> dict[st
     return {c: None for c in columns} | {r["feature"]: r["r"] for r in found}
 
 
-def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> dict[tuple[str, str], float | None]:
-    """Pairwise-complete correlations, a few pairs at a time over the same scan."""
-    out = {}
-    for start in range(0, len(pairs), PAIRS_PER_JOB):
-        part = pairs[start : start + PAIRS_PER_JOB]
-        rows = F.array(*[
-            F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-            for i, (a, b) in enumerate(part)
-        ])
-        found = df.select(F.inline(rows)).groupBy("pair").agg(pearson(F.col("x"), F.col("y")).alias("r")).collect()
-        out |= {p: None for p in part} | {part[r["pair"]]: r["r"] for r in found}
-    return out
-
+def correlations(df: DataFrame, columns: list[str]) -> dict[tuple[str, str], float | None]:
+    """Correlations of all pairs of columns, each over the rows where both are known (NaN counts as unknown).
 
-def dense_correlations(df: DataFrame, columns: list[str]) -> dict[tuple[str, str], float | None]:
-    """Correlations of many null-free columns from one pass over assembled vectors."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(df.select(*columns)).select("_v")
-    matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
+    One pass: every task adds up products of its Arrow batches, centred on the column means,
+    and one row per pair and task is summed. Null where a side does not vary.
+    """
+    if len(columns) < 2:
+        return {}
+    means = df.agg(*[F.avg(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double"))).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    centres, p = [m or 0.0 for m in means], len(columns)
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+
+    def products(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.zeros((4, p, p))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - np.array(centres)
+            known = ~np.isnan(x)
+            x, m = np.where(known, x, 0.0), known.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        names = ["cell", "n", "sx", "sxx", "sxy"]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(p * p)), *[pa.array(t.ravel()) for t in total]], names=names)
+
+    cells = values.mapInArrow(products, "cell bigint, n double, sx double, sxx double, sxy double")
+    sums = {r[0]: r[1:] for r in cells.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sxx", "sxy")]).collect()}
     out = {}
-    for i, a in enumerate(columns):
-        for j in range(i + 1, len(columns)):
-            out[(a, columns[j])] = None if matrix[i, j] != matrix[i, j] else float(matrix[i, j])
+    for i, j in ((i, j) for i in range(p) for j in range(i + 1, p)):
+        n, sx, sxx, sxy = sums.get(i * p + j, (0.0,) * 4)
+        _, sy, syy, _ = sums.get(j * p + i, (0.0,) * 4)
+        spread = (n * sxx - sx * sx) * (n * syy - sy * sy) if n else 0.0
+        # what rounding leaves of a constant column is no spread
+        varies = n and n * sxx - sx * sx > 1e-13 * n * sxx and n * syy - sy * sy > 1e-13 * n * syy
+        out[(columns[i], columns[j])] = (n * sxy - sx * sy) / spread**0.5 if varies and spread > 0 else None
     return out
 
 
@@ -110,13 +118,9 @@ def all_pairs(columns: list[str]) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
 
 
-def correlation_table(df: DataFrame, columns: list[str], wide: int = 30) -> dict[tuple[str, str], float | None]:
-    """All pairs; vectors when the set is wide and has no nulls, else pairwise-complete aggregates."""
-    if len(columns) > wide:
-        counts = numeric_moments(df, columns, ("count",))
-        if len({m["count"] for m in counts.values()} | {df.count()}) == 1:
-            return dense_correlations(df, columns)
-    return correlations(df, all_pairs(columns))
+def correlation_table(df: DataFrame, columns: list[str]) -> dict[tuple[str, str], float | None]:
+    """All pairs of columns, pairwise complete, whatever their number."""
+    return correlations(df, columns)
 
 
 def null_and_distinct_counts(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, int]]:

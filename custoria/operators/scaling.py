@@ -13,7 +13,7 @@ from pyspark.sql.functions import pandas_udf
 
 from custoria import constants as K
 from custoria.functions.columns import numeric_columns, string_columns
-from custoria.functions.quantiles import BOUNDED_ROWS, exact_quantiles
+from custoria.functions.quantiles import BOUNDED_ROWS, even_quantiles, exact_quantiles, known_counts
 from custoria.operators import encoding as N
 from custoria.operators.profiles import measure, numeric_moments
 
@@ -79,16 +79,10 @@ def fit_robust(df: DataFrame, columns: list[str], bounded_rows: int = BOUNDED_RO
 
 
 def fit_quantile(df: DataFrame, columns: list[str], points: int = GRID_POINTS, bounded_rows: int = BOUNDED_ROWS) -> dict[str, dict]:
-    """Value grid at up to ``points`` even probabilities: exact for bounded tables, else sketched."""
-    counts = {c: m["count"] for c, m in numeric_moments(df, columns, ("count",)).items()}
-    out, wanted = {}, {}
-    for c in columns:
-        n = max(2, min(points, counts[c]))
-        wanted[c] = [i / (n - 1) for i in range(n)]
-    if max(counts.values(), default=0) <= bounded_rows:
-        grids = exact_quantiles(df, wanted, bounded_rows)
-    else:
-        grids = measure(df, {c: F.percentile_approx(F.col(c).cast("double"), wanted[c], 10 * points) for c in columns})
+    """Value grid at up to ``points`` even probabilities, exact at any size."""
+    counts = known_counts(df, columns)
+    out = {}
+    grids = even_quantiles(df, {c: max(2, min(points, counts[c])) for c in columns}, bounded_rows)
     for c in columns:
         out[c] = {"grid": [float(v) for v in grids[c]] if grids[c] and grids[c][0] is not None else [0.0, 0.0]}
     return out

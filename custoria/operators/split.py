@@ -70,7 +70,16 @@ def split_report(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def with_folds(df: DataFrame, key: str, folds: int, seed: int = SEED) -> DataFrame:
-    """Reproducible fold number 0..folds-1 from the row's key."""
-    number = F.conv(F.substring(hash_order(key, seed=seed), 1, 8), 16, 10).cast("bigint")
-    return df.withColumn("fold", F.pmod(number, F.lit(folds)).cast("int"))
+def with_folds(df: DataFrame, label: str, key: str, folds: int, seed: int = SEED, bounded_rows: int = BOUNDED_ROWS) -> DataFrame:
+    """Add ``fold`` 0..folds-1: every class, in md5 order, is cut into parts of equal size, to the row.
+
+    Rows without a label are left out. A class with fewer rows than folds is an error: a fold
+    without it could not be scored.
+    """
+    known = df.where(F.col(label).isNotNull())
+    counts = class_counts(known, label)
+    short = {c: n for c, n in counts.items() if n < folds}
+    if short:
+        raise ValueError(f"{folds} folds need as many rows of every class; there are {short}")
+    parts = {c: [(fold, n * (fold + 1) // folds) for fold in range(folds - 1)] for c, n in counts.items()}
+    return cut_classes(known, label, key, parts, folds - 1, seed, "fold", counts, bounded_rows)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ SESSION_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-_fallback_root: dict[str, str] = {}
+_used: set[str] = set()
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -39,19 +40,22 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
 def workspace(spark: SparkSession) -> str:
     """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may go without that setting: then a scratch folder of this
-    machine serves, as in tests. A cluster without it is an error, since executors
-    could not read what another machine wrote.
+    Where that is unset, as in tests, the warehouse serves, which executors share as well. All
+    folders of an application lie in one, which is removed when the application's Python ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        app = spark.sparkContext.applicationId
-        if app not in _fallback_root:
-            _fallback_root[app] = tempfile.mkdtemp(prefix="custoria-")
-        root = _fallback_root[app]
-    return f"{root.rstrip('/')}/custoria-{uuid.uuid4().hex}"
+    root = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    own = f"{root}/custoria-{spark.sparkContext.applicationId}"
+    if own not in _used:
+        _used.add(own)
+        atexit.register(_remove, spark, own)
+    return f"{own}/{uuid.uuid4().hex}"
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of stored tables, if the application still runs."""
+    with contextlib.suppress(Exception):
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
