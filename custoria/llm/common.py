@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,10 +24,16 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def rows_of(df: DataFrame, **named: str) -> DataFrame:
-    """Each row of ``df`` whole in the column ``row``, next to single columns under names of the caller's
-    choice; so a column of the table never clashes with one that an operator adds."""
-    return df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), *[df[c].alias(n) for n, c in named.items()])
+def rows_of(df: DataFrame, text: str, **named: str) -> DataFrame:
+    """The column ``text`` and, in the column ``row``, all others, next to single ones under names of the
+    caller's choice; so a column of the table never clashes with one that an operator adds."""
+    rest = [df[c] for c in df.columns if c != text] or [F.lit(None).alias("none")]
+    return df.select(F.struct(*rest).alias("row"), df[text].alias("text"), *[df[c].alias(n) for n, c in named.items()])
+
+
+def columns_of(columns: list[str], text: str) -> list[Column]:
+    """The columns of a table again from what ``rows_of`` made of it."""
+    return [(F.col("text") if c == text else F.col("row")[c]).alias(c) for c in columns]
 
 
 def map_batches(df: DataFrame, columns: list[str], fn: Callable[[pa.RecordBatch], pa.RecordBatch], fields: list[T.StructField]) -> DataFrame:

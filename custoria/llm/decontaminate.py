@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custoria.llm.common import as_bytes, rows_of
+from custoria.llm.common import as_bytes, columns_of, rows_of
 from custoria.session import materialize
 
 WINDOW = 13
@@ -299,11 +299,11 @@ def find(documents: DataFrame, benchmark: DataFrame, column: str = "text", item:
         if searched is None:
             searched = _search(documents, column, block, window)
             continue
-        before = rows_of(materialize(searched), searched_text=column)
-        new = _search(before, "searched_text", block, window)
+        before = rows_of(materialize(searched), column)
+        new = _search(before, "text", block, window)
         old = F.col("row")
         searched = new.select(
-            *[old[c].alias(c) for c in columns],
+            *columns_of(columns, column),
             "bench_words",
             _joined(F.concat(old["bench_spans"], F.col("bench_spans"))).alias("bench_spans"),
             F.array_sort(F.array_distinct(F.concat(old["bench_items"], F.col("bench_items")))).alias("bench_items"),

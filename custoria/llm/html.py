@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custoria.llm.common import as_bytes, rows_of
+from custoria.llm.common import as_bytes, columns_of, rows_of
 from custoria.session import materialize
 
 #: Branches below this importance go; hosts with fewer different pages have no say.
@@ -281,15 +281,15 @@ def main_text(df: DataFrame, url: str = "url", column: str = "html") -> DataFram
     nodes = materialize(_nodes(pages))
     low = style_tree(nodes).where(F.col("importance") < IMPORTANCE).select("host", "node")
     removed = nodes.select("host", "node", "key").distinct().join(low, ["host", "node"]).groupBy("key").agg(F.collect_set("node").alias("low"))
-    whole = rows_of(base, html=column, url=url).select("row", "html", F.xxhash64("url", "html").alias("key"))
-    joined = whole.join(removed.withColumnRenamed("key", "low_key"), F.col("key") == F.col("low_key"), "left").select("row", "html", "low")
+    whole = rows_of(base, column, url=url).select("row", "text", F.xxhash64("url", "text").alias("key"))
+    joined = whole.join(removed.withColumnRenamed("key", "low_key"), F.col("key") == F.col("low_key"), "left").select("row", "text", "low")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = batch.column(2).to_pylist()
             texts = [_page(data).text(set(low or ())) for data, low in zip(as_bytes(batch.column(1)), found)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array([len(x or ()) for x in found], pa.int64())], names=["row", "text", "low"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string()), pa.array([len(x or ()) for x in found], pa.int64())], names=["row", "text", "main", "low"])
 
-    schema = whole.select("row", F.lit("").alias("text"), F.lit(0).cast("long").alias("low")).schema
+    schema = whole.select("row", "text", F.lit("").alias("main"), F.lit(0).cast("long").alias("low")).schema
     done = joined.mapInArrow(run, schema)
-    return done.select(*[F.col("row")[c].alias(c) for c in base.columns], F.col("text").alias("main_text"), F.col("low").alias("removed_nodes"))
+    return done.select(*columns_of(base.columns, column), F.col("main").alias("main_text"), F.col("low").alias("removed_nodes"))

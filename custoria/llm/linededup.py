@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custoria.llm.common import rows_of
+from custoria.llm.common import columns_of, rows_of
 from custoria.session import materialize
 
 LINES, WORDS = 3, 50
@@ -93,7 +93,7 @@ def dedup_lines(df: DataFrame, id_column: str = "doc_id", column: str = "text",
     """
     base = df.drop("line_count", "lines_removed", "line_runs_removed")
     found = repeated_windows(base, id_column, column, lines, words)
-    whole = rows_of(base, id=id_column, text=column).withColumn("hash", F.xxhash64("text"))
+    whole = rows_of(base, column, id=id_column).withColumn("hash", F.xxhash64("text"))
     joined = whole.join(
         found, (F.col("id").isNull() == F.col("_nulls")) & F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_text")), "left"
     )
@@ -104,7 +104,7 @@ def dedup_lines(df: DataFrame, id_column: str = "doc_id", column: str = "text",
     runs = F.size(F.filter(F.transform("gone", lambda x, k: (k == 0) | (F.get("gone", k - 1) != x - 1)), lambda first: first))
     none = F.lit(0).cast("long")
     return split.select(
-        *[(F.when(F.col("gone").isNull(), F.col("text")).otherwise(left) if c == column else F.col("row")[c]).alias(c) for c in base.columns],
+        *[F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias(c) if c == column else plain for c, plain in zip(base.columns, columns_of(base.columns, column))],
         F.when(F.length(F.trim("text", F.lit(SPACES))) > 0, F.size("lines").cast("long")).otherwise(none).alias("line_count"),
         F.coalesce(F.size("gone").cast("long"), none).alias("lines_removed"),
         F.coalesce(F.when(F.col("gone").isNotNull(), runs).cast("long"), none).alias("line_runs_removed"),

@@ -14,7 +14,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custoria.llm.common import rows_of
+from custoria.llm.common import columns_of, rows_of
 from custoria.session import materialize
 
 #: Buckets of the hashed n-grams; the table of ratios is this long at any corpus size.
@@ -34,9 +34,9 @@ def _words(column: str) -> Column:
 
 
 def base_features(df: DataFrame, column: str = "text") -> DataFrame:
-    """(``row``, ``codes``, counts): each row of ``df`` with the hashes of its words and n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words."""
+    """(``row``, ``text``, ``codes``, counts): each row of ``df`` with the hashes of its words and n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    named = rows_of(df, text=column).withColumn("words", _words("text")).withColumn("lines", F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)))
+    named = rows_of(df, column).withColumn("words", _words("text")).withColumn("lines", F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)))
     coded = named.withColumn("codes", F.transform("words", lambda w: F.xxhash64(w)))
     counted = coded.withColumn("n", F.size("codes"))
     at = F.sequence(F.lit(0), F.greatest(F.col("n") - 3, F.lit(0)))
@@ -54,6 +54,7 @@ def base_features(df: DataFrame, column: str = "text") -> DataFrame:
     covered = F.aggregate(F.transform("at", lambda i, k: F.least(F.lit(3), F.coalesce(F.get("at", k + 1) - i, F.lit(3)))), F.lit(0).cast("long"), lambda a, b: a + b)
     return repeated.select(
         "row",
+        "text",
         "codes",
         F.col("n").cast("long").alias("n_words"),
         F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
@@ -167,11 +168,10 @@ def judge(df: DataFrame, fitted: Fitted, column: str = "text") -> DataFrame:
     scored = featured.withColumn("base_failed", base_failed()).withColumn("quality_score", _score(fitted.column(), len(fitted.ratios)))
     verdict = F.lit(True) if fitted.threshold is None else F.coalesce(F.col("quality_score") >= F.lit(fitted.threshold), F.lit(False))
     judged = scored.withColumn("kept", ~F.col("base_failed") & verdict)
-    return judged.select(*[F.col("row")[c].alias(c) for c in plain.columns], *new)
+    return judged.select(*columns_of(plain.columns, column), *new)
 
 
 def keep(df: DataFrame, fitted: Fitted, column: str = "text") -> DataFrame:
     """The rows of ``df`` that are kept; the judged rows are stored first."""
-    columns = df.columns
-    judged = materialize(judge(rows_of(df, text=column), fitted).select("row", "kept"))
-    return judged.where("kept").select(*[F.col("row")[c].alias(c) for c in columns])
+    judged = materialize(judge(rows_of(df, column), fitted).select("row", "text", "kept"))
+    return judged.where("kept").select(*columns_of(df.columns, column))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custoria.llm.common import as_bytes, components, map_batches, rows_of
+from custoria.llm.common import as_bytes, columns_of, components, map_batches, rows_of
 from custoria.session import materialize
 
 WORDS, BITS = 3, 2
@@ -315,10 +315,9 @@ def keep_first(df: DataFrame, id_column: str = "doc_id", column: str = "text", w
     Rows with that same id and equal columns cannot be told apart; all but one of them go. A
     row whose id is null stays, as nothing names it as a copy.
     """
-    columns = df.columns
     found = classes(df, id_column, column, words, bits)
     keep = found.where(F.col(id_column) == F.col("component_id")).select(F.col(id_column).alias("first")).distinct()
-    whole = rows_of(df, id=id_column)
-    chosen = whole.join(keep, F.col("id") == F.col("first"), "left_semi").withColumn("tie", F.xxhash64("row"))
-    once = chosen.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy("tie"))).where("n = 1").select("row")
-    return once.unionByName(whole.where("id IS NULL").select("row")).select(*[F.col("row")[c].alias(c) for c in columns])
+    whole = rows_of(df, column, id=id_column)
+    chosen = whole.join(keep, F.col("id") == F.col("first"), "left_semi").withColumn("tie", F.xxhash64("row", "text"))
+    once = chosen.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy("tie"))).where("n = 1").select("row", "text")
+    return once.unionByName(whole.where("id IS NULL").select("row", "text")).select(*columns_of(df.columns, column))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custoria.llm.common import as_bytes, rows_of
+from custoria.llm.common import as_bytes, columns_of, rows_of
 from custoria.session import materialize
 
 #: Draws of one entity before the job gives up.
@@ -335,7 +335,7 @@ def replace(df: DataFrame, key: bytes, id_column: str = "doc_id", column: str =
     chosen = assign(entities, key)
     lists = mentions.join(chosen, ["kind", "name"]).groupBy("id", "hash").agg(F.array_sort(F.collect_list(F.struct("begin", "end", "kind", "surrogate"))).alias("pii"))
     lists = lists.select(F.col("id").alias("_id"), F.col("hash").alias("_hash"), "pii")
-    whole = rows_of(base, id=id_column, text=column)
+    whole = rows_of(base, column, id=id_column)
     joined = whole.join(lists, F.col("id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left").select("row", "text", "pii")
     listed = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32())]))
 
@@ -354,4 +354,4 @@ def replace(df: DataFrame, key: bytes, id_column: str = "doc_id", column: str =
 
     schema = whole.select("row", "text", F.lit(None).cast("array<struct<kind:string,begin:int,end:int>>").alias("pii")).schema
     done = joined.mapInArrow(run, schema)
-    return done.select(*[(F.col("text") if c == column else F.col("row")[c]).alias(c) for c in base.columns], "pii")
+    return done.select(*columns_of(base.columns, column), "pii")
