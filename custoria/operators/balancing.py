@@ -20,6 +20,8 @@ from custoria.operators.selection import forest, positive_score
 from custoria.operators.split import class_counts, cut_classes, with_folds
 from custoria.session import materialize
 
+DRAWS_PER_ROW = 1000
+
 # ---------------------------------------------------------------- reports and weights
 
 
@@ -137,7 +139,10 @@ def _even_shares(bases: DataFrame, total: int, seed: int) -> DataFrame:
 def _interpolate(draws: DataFrame, minority: DataFrame, neighbours: DataFrame, seed: int) -> DataFrame:
     """Synthetic rows (id, draw, neighbour, features): a point between the base and one of its neighbours."""
     degree = neighbours.groupBy("id").agg(F.max("rank").alias("_k"))
-    asked = draws.where("draws > 0").join(degree, "id").withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("draws"))))
+    # many draws of one base spread over rows of bounded length
+    parts = draws.where("draws > 0").join(degree, "id").withColumn("_c", F.explode(F.expr(f"sequence(0, (draws - 1) div {DRAWS_PER_ROW})")))
+    numbers = F.expr(f"sequence(_c * {DRAWS_PER_ROW} + 1, least(draws, (_c + 1) * {DRAWS_PER_ROW}))")
+    asked = parts.repartition("id", "_c").withColumn("draw", F.explode(numbers.cast("array<int>"))).drop("_c")
     pick = F.floor(hash_unit("id", "draw", F.lit("neighbour"), seed=seed) * F.col("_k")).cast("int") + 1
     chosen = asked.select("id", "draw", pick.alias("rank")).join(neighbours.select("id", "rank", "neighbour"), ["id", "rank"])
     step = hash_unit("id", "draw", F.lit("step"), seed=seed)

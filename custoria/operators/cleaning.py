@@ -211,6 +211,8 @@ def clean_customers(df: DataFrame, as_of, deep_clean: bool = True) -> DataFrame:
         out = materialize(out)  # medians, quartiles and the result would each repeat the key shuffle
     if {"age", "customer_segment"} <= has:
         out = impute_group_median(out, "age", "customer_segment")
+    elif "age" in has and (median := exact_quantiles(out, {"age": [0.5]})["age"][0]) is not None:
+        out = out.fillna({"age": median})
     out = fill_constants(out, {c: "Unknown" for c in K.CUSTOMER_TEXT_FILLS} | {c: False for c in K.CUSTOMER_FLAG_FILLS})
     if "age" in has:
         out = filter_age_range(out)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,10 +80,13 @@ def scan_marketing(marketing: DataFrame, date_range=None, as_of=None) -> DataFra
 
 
 def sql_query(spark: SparkSession, text: str, params: dict | None = None, **views: DataFrame) -> DataFrame:
-    """SQL text with ``:name`` parameters over the given frames."""
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text, args=params or {})
+    """SQL text with ``:name`` parameters over the given frames; the session's own views stay as they are."""
+    body = text.replace("{", "{{").replace("}", "}}")
+    if views:
+        named = ", ".join(f"{name} AS (SELECT * FROM {{{name}}})" for name in views)
+        own = re.match(r"\s*with\b", body, re.IGNORECASE)
+        body = f"WITH {named}, {body[own.end():]}" if own else f"WITH {named} {body}"
+    return spark.sql(body, args=params or {}, **views)
 
 
 def read_jdbc(

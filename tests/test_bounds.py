@@ -95,3 +95,31 @@ def test_stored_tables_lie_in_one_folder(spark):
     first, second = session.workspace(spark), session.workspace(spark)
     assert os.path.dirname(first) == os.path.dirname(second) and first != second
     assert spark.sparkContext.applicationId in first
+
+
+def test_sql_leaves_the_session_s_views(spark):
+    from custoria.sources.scans import sql_query
+
+    spark.range(3).createOrReplaceTempView("t")
+    got = sql_query(spark, "WITH big AS (SELECT * FROM t WHERE id > :low) SELECT count(*) AS n, '{}' AS text FROM big", {"low": 4}, t=spark.range(10))
+    assert tuple(got.first()) == (5, "{}")
+    assert sql_query(spark, "SELECT max(id) FROM other", other=spark.range(8)).first()[0] == 7
+    assert spark.table("t").count() == 3 and not spark.catalog.tableExists("other")
+
+
+def test_ages_without_segments(spark):
+    from custoria.operators.cleaning import clean_customers
+
+    df = spark.createDataFrame([(str(i), None if i == 0 else 20.0 + i) for i in range(12)], "customer_id string, age double")
+    assert clean_customers(df, "2024-06-01").where("customer_id = '0'").first()["age"] == 26.0
+
+
+def test_many_draws_of_one_base(spark, monkeypatch):
+    from custoria.operators import balancing
+
+    monkeypatch.setattr(balancing, "DRAWS_PER_ROW", 3)
+    points = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "id long, features array<double>")
+    near = spark.createDataFrame([(1, 1, 2), (2, 1, 1)], "id long, rank int, neighbour long")
+    draws = spark.createDataFrame([(1, 10), (2, 0)], "id long, draws int")
+    made = balancing._interpolate(draws, points, near, 1).collect()
+    assert sorted(r.draw for r in made) == list(range(1, 11)) and all(0 <= r.features[0] <= 1 for r in made)
