@@ -161,12 +161,18 @@ class Level:
         context, path = self.ids >> np.uint64(8), self.ids & np.uint64(255)
         return context >> np.uint64(8) << np.uint64(8) | path, self.mixed
 
-    def find(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each node, and whether training reached it."""
-        if not len(self.ids):
-            return np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
-        at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
-        return at, self.ids[at] == ids
+    @property
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nodes in order, their estimates and weights: plain arrays that travel to the tasks."""
+        return self.ids, self.one, self.weight
+
+
+def _find(nodes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each node, and whether training reached it."""
+    if not len(nodes):
+        return np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
+    at = np.minimum(np.searchsorted(nodes, ids), len(nodes) - 1)
+    return at, nodes[at] == ids
 
 
 def _levels(keys: np.ndarray, counts: np.ndarray, depths: range, below: tuple[np.ndarray, np.ndarray] | None = None, width: int = DEPTH) -> dict[int, Level]:
@@ -182,33 +188,20 @@ def _levels(keys: np.ndarray, counts: np.ndarray, depths: range, below: tuple[np
     return out
 
 
-def _mix(levels: dict[int, Level], context: np.ndarray, path: np.ndarray, width: int, depths: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Probability of a one by mixing ``depths`` (deepest first), and where the shallowest was reached."""
-    one, reached = np.full(len(context), 0.5), np.zeros(len(context), bool)
-    for depth in depths:
-        at, seen = levels[depth].find(context >> np.uint64(8 * (width - depth)) << np.uint64(8) | path)
-        if not len(levels[depth].ids):
-            continue
-        own, weight = levels[depth].one[at], levels[depth].weight[at]
-        one = np.where(seen, np.where(reached, weight * own + (1 - weight) * one, own), one)
-        reached = seen
-    return one, reached
-
-
-def _logs(keys: np.ndarray, local: dict[int, Level], top: dict[int, Level]) -> np.ndarray:
-    """log10 of the probability of each string's last byte behind its context."""
+def _logs(keys: np.ndarray, tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+    """log10 of the probability of each string's last byte behind its context, by the tables of all depths."""
     total = np.zeros(len(keys))
     context, byte = keys >> np.uint64(8), keys & np.uint64(255)
-    upper = context >> np.uint64(8 * (DEPTH - TOP))
     for j in range(8):
         path = np.uint64(1 << j) | byte >> np.uint64(8 - j)
-        one, reached = _mix(local, context, path, DEPTH, list(range(DEPTH, TOP, -1)))
-        for depth in range(TOP, -1, -1):
-            ids = (upper >> np.uint64(8 * (TOP - depth)) if depth else np.zeros_like(upper)) << np.uint64(8) | path
-            at, seen = top[depth].find(ids)
-            if not len(top[depth].ids):
+        one, reached = np.full(len(keys), 0.5), np.zeros(len(keys), bool)
+        for depth in range(DEPTH, -1, -1):
+            nodes, estimate, share = tables[depth]
+            if not len(nodes):
                 continue
-            own, weight = top[depth].one[at], top[depth].weight[at]
+            ids = (context >> np.uint64(8 * (DEPTH - depth)) if depth else np.zeros_like(context)) << np.uint64(8) | path
+            at, seen = _find(nodes, ids)
+            own, weight = estimate[at], share[at]
             one = np.where(seen, np.where(reached, weight * own + (1 - weight) * one, own), one)
             reached = seen
         bit = byte >> np.uint64(7 - j) & np.uint64(1)
@@ -287,12 +280,16 @@ def _sums(requests: DataFrame) -> DataFrame:
 
 def _answers(requests: DataFrame, top: dict[int, Level]) -> DataFrame:
     """(block, kind, bucket, n, values): per key asked for, the logarithm of a string or the count of a word."""
-    sent = requests.sparkSession.sparkContext.broadcast(top)
+    sent = requests.sparkSession.sparkContext.broadcast({d: level.table for d, level in top.items()})
 
     def run(table: pa.Table) -> pa.Table:
         keys, counts, asked = _gathered(table)
         kind, bucket = table.column("kind")[0].as_py(), table.column("bucket")[0].as_py()
-        values = counts if kind == WORD else _logs(keys, _levels(keys, counts, range(TOP + 1, DEPTH + 1)), sent.value).astype("<f4")
+        if kind == WORD:
+            values = counts
+        else:
+            local = _levels(keys, counts, range(TOP + 1, DEPTH + 1))
+            values = _logs(keys, sent.value | {d: level.table for d, level in local.items()}).astype("<f4")
         rows = []
         for block, own in asked.items():
             found = values[np.searchsorted(keys, own)]

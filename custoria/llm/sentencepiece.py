@@ -12,9 +12,10 @@ from __future__ import annotations
 import heapq
 import re
 import struct
-from functools import lru_cache
+import sys
 from itertools import groupby
 from operator import add
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,10 @@ def _wire(data: bytes):
             at += size
 
 
+def _pair(piece: int, size: int) -> bytes:
+    return struct.pack("<ii", piece, size)
+
+
 class CharacterMap:
     """The compiled map: a double-array trie of prefixes, each with its replacement."""
 
@@ -128,7 +133,7 @@ class Model:
         self.eos = self.pieces.index("</s>")
         self.bytes_at = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, kinds)) if k == BYTE}
         self.byte_of = {i: bytes([b]) for b, i in self.bytes_at.items()}
-        self.packed = {p: PAIR.pack(i, len(p.encode())) for p, i in self.ids.items()}
+        self.packed = {p: _pair(i, len(p.encode())) for p, i in self.ids.items()}
         self.side = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -178,8 +183,8 @@ class Model:
         """Entries of a character without a piece: its bytes, of which the last one covers it, or the unknown id."""
         data = piece.encode()
         if not self.fallback:
-            return PAIR.pack(self.unk, len(data))
-        return b"".join([PAIR.pack(self.bytes_at[b], len(data) * (k == len(data))) for k, b in enumerate(data, 1)])
+            return _pair(self.unk, len(data))
+        return b"".join([_pair(self.bytes_at[b], len(data) * (k == len(data))) for k, b in enumerate(data, 1)])
 
     def segment(self, segment: str) -> bytes:
         """Pairs of int32: the ids of a segment and the number of normalised bytes that each one covers.
@@ -303,7 +308,6 @@ class Model:
 
 
 NEVER = float("inf")
-PAIR = struct.Struct("<ii")
 SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -322,10 +326,12 @@ def _mended(data: bytes) -> bytes:
     return b"".join(out)
 
 
-@lru_cache(maxsize=2)
 def model(path: str) -> Model:
-    """The model, read once in each worker."""
-    return Model(path)
+    """The model, read once in each worker process; tasks get this function by value, so it is kept beside it."""
+    kept = sys.modules.setdefault("custoria_worker_models", ModuleType("custoria_worker_models")).__dict__
+    if path not in kept:
+        kept[path] = Model(path)
+    return kept[path]
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:

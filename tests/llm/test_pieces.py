@@ -88,3 +88,25 @@ def test_longest_prefix_and_alignment():
     assert "".join(pieces) == text
     assert (begins[0], ends[-1]) == (2, len(data) - 1)
     assert all(b <= e for b, e in zip(begins, ends)) and list(ends[:-1]) == list(begins[1:])
+
+
+def test_workers_without_the_package(tmp_path):
+    """Encoding and scoring from a folder and a Python path that do not have the package."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = (
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "from custoria.session import local_session\n"
+        "spark = local_session(2, 2, '1g')\n"
+        "from custoria.llm import ctw, decontaminate, html, sentencepiece, simhash, suffixdedup, surrogates\n"
+        "df = spark.createDataFrame([(i, f'some words {i} of text ' * 5) for i in range(20)], 'doc_id long, text string')\n"
+        f"print('rows', sentencepiece.encode(df, {PATH!r}, decoded=True).count(), ctw.scores(df).count(), suffixdedup.remove_repeats(df).count(),"
+        " simhash.classes(df).count(), surrogates.replace(df, b'k').count(), decontaminate.find(df, df.withColumnRenamed('doc_id', 'item_id')).count(),"
+        " html.main_text(df.selectExpr('text AS url', 'text AS html')).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "rows 20 20 20 20 20 20 20" in done.stdout, done.stderr[-3000:]

@@ -114,7 +114,7 @@ def test_next_byte_probabilities_add_up():
         for byte in reversed(context):
             base = base << 8 | byte
         every = np.array([base << 8 | x for x in range(256)], np.uint64)
-        assert (10.0 ** ctw._logs(every, local, top)).sum() == pytest.approx(1.0)
+        assert (10.0 ** ctw._logs(every, {d: level.table for d, level in (local | top).items()})).sum() == pytest.approx(1.0)
 
 
 def test_held_out_beats_word_counts(spark):
