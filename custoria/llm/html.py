@@ -185,20 +185,39 @@ class Page:
             if self.tag[e] not in INLINE
         ]
 
-    def text(self, unimportant: set[int]) -> str:
-        """Text of the article, or, without one, of what neither role nor importance removes."""
+    def kept(self, unimportant: set[int]) -> tuple[list[bool], int]:
+        """The elements whose text stays, and how many of the unimportant nodes went.
+
+        The outermost article elements and those above them are protected, what stands below them is not. Where
+        importance would remove all text, roles alone decide.
+        """
         gone = self.dropped()
         inside = self.roots(gone)
-        if any(inside):
-            kept = inside
-        else:
-            low = list(gone)
-            for e in range(1, len(low)):
-                low[e] = low[e] or low[self.parent[e]] or _signed(self.key[e]) in unimportant
-            kept = [not x for x in low]
-            kept[0] = True
-            if not any(kept[e] and text.strip() for e, text in self.texts):
-                kept = [not x for x in gone]
+        article = any(inside)
+        plain = inside if article else [not x for x in gone]
+        plain[0] = not article
+        n = len(self.tag)
+        protected = [False] * n
+        for e in range(n - 1, 0, -1):
+            if inside[e] and not inside[self.parent[e]]:
+                protected[e] = True
+            if protected[e]:
+                protected[self.parent[e]] = True
+        kept = list(plain)
+        low = [False] * n
+        for e in range(1, n):
+            low[e] = not protected[e] and (low[self.parent[e]] or _signed(self.key[e]) in unimportant)
+            kept[e] = plain[e] and not low[e]
+        if not any(kept[e] and text.strip() for e, text in self.texts):
+            kept = plain
+        went = {self.key[e] for e in range(1, n) if not kept[e] and not protected[e] and _signed(self.key[e]) in unimportant}
+        return kept, len(went)
+
+    def text(self, unimportant: set[int]) -> str:
+        """Text of the article, or, without one, of the page, less what role or importance removes."""
+        return self.text_of(self.kept(unimportant)[0])
+
+    def text_of(self, kept: list[bool]) -> str:
         pieces, last = [], True
         for e, text in self.texts:
             if kept[e]:
@@ -224,14 +243,16 @@ def host_of(url):
 
 
 def _nodes(pages: DataFrame) -> DataFrame:
-    """(host, key, node, presentation, content): one row for each element name path of a page."""
+    """(host, key, node, presentation, content): the element name paths of each page, as arrays.
+
+    Pages of equal host and key are one page, so that copies do not make their own text look alike.
+    """
+    fields = ("node", "presentation", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["host", "key", "node", "presentation", "content"]
         for batch in batches:
-            hosts, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows: list[tuple] = []
-            for host, key, data in zip(hosts, keys, as_bytes(batch.column(2))):
+            lists: list[list[list[int]]] = [[], [], []]
+            for data in as_bytes(batch.column(2)):
                 merged: dict[int, list[int]] = {}
                 for node, look, content in _page(data).nodes():
                     if node in merged:  # repeated names, such as paragraphs, are one node
@@ -240,10 +261,16 @@ def _nodes(pages: DataFrame) -> DataFrame:
                         was[1] = _signed(xxhash.xxh64_intdigest(f"{was[1]} {content}"))
                     else:
                         merged[node] = [look, content]
-                rows += [(host, key, node, *both) for node, both in merged.items()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * 5, names=names)
+                for out, values in zip(lists, (list(merged), [b[0] for b in merged.values()], [b[1] for b in merged.values()])):
+                    out.append(values)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(x, pa.list_(pa.int64())) for x in lists)], names=["host", "key", *fields])
+
+    rows = pages.select("host", "key", "html").mapInArrow(run, "host long, key long, " + ", ".join(f"{n} array<long>" for n in fields))
+    return rows.dropDuplicates(["host", "key"])
+
 
-    return pages.select("host", "key", "html").mapInArrow(run, ", ".join(f"{n} long" for n in ("host", "key", "node", "presentation", "content")))
+def _inlined(nodes: DataFrame) -> DataFrame:
+    return nodes.select("host", "key", F.inline(F.arrays_zip("node", "presentation", "content")))
 
 
 def style_tree(nodes: DataFrame) -> DataFrame:
@@ -269,26 +296,32 @@ def style_tree(nodes: DataFrame) -> DataFrame:
 
 
 def main_text(df: DataFrame, url: str = "url", column: str = "html") -> DataFrame:
-    """``df`` with ``main_text`` and ``removed_nodes``, the number of the page's elements without importance.
+    """``df`` with ``main_text`` and ``removed_nodes``, the number of the page's nodes of low importance that went.
 
-    Pages of one host are compared; a null or odd url belongs to the empty host. A null or empty
-    page has an empty text, and so has one that holds nothing but other roles. The article
-    and main elements are protected; on pages without them a branch of low importance goes, unless nothing
-    would be left. Rows that are equal have equal results; columns of these names are replaced.
+    Pages of one host are compared, each distinct page once; a null or odd url belongs to the empty host. A null or empty
+    page has an empty text, and so has one that holds nothing but other roles. Outermost article
+    and main elements and those above them are protected; any other branch of low importance goes, also inside an
+    article, unless nothing would be left. Rows that are equal have equal results; columns of these names are replaced.
     """
     base = df.drop("main_text", "removed_nodes")
-    pages = base.select(F.xxhash64(host_of(F.col(url))).alias("host"), F.xxhash64(F.col(url), F.col(column)).alias("key"), F.coalesce(F.col(column), F.lit("")).alias("html"))
-    nodes = materialize(_nodes(pages))
-    low = style_tree(nodes).where(F.col("importance") < IMPORTANCE).select("host", "node")
-    removed = nodes.select("host", "node", "key").distinct().join(low, ["host", "node"]).groupBy("key").agg(F.collect_set("node").alias("low"))
-    whole = rows_of(base, column, url=url).select("row", "text", F.xxhash64("url", "text").alias("key"))
+    source = F.coalesce(F.col(column), F.lit(""))
+    host = F.xxhash64(host_of(F.col(url)))
+    nodes = materialize(_nodes(base.select(host.alias("host"), F.xxhash64(host, source).alias("key"), source.alias("html"))))
+    low = style_tree(_inlined(nodes)).where(F.col("importance") < IMPORTANCE).select("host", "node")
+    removed = _inlined(nodes).select("host", "node", "key").join(low, ["host", "node"]).groupBy("key").agg(F.collect_list("node").alias("low"))
+    whole = rows_of(base, column, url=url)
+    whole = whole.select("row", "text", F.xxhash64(F.xxhash64(host_of(F.col("url"))), F.coalesce("text", F.lit(""))).alias("key"))
     joined = whole.join(removed.withColumnRenamed("key", "low_key"), F.col("key") == F.col("low_key"), "left").select("row", "text", "low")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = batch.column(2).to_pylist()
-            texts = [_page(data).text(set(low or ())) for data, low in zip(as_bytes(batch.column(1)), found)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string()), pa.array([len(x or ()) for x in found], pa.int64())], names=["row", "text", "main", "low"])
+            texts, counts = [], []
+            for data, low in zip(as_bytes(batch.column(1)), batch.column(2).to_pylist()):
+                page = _page(data)
+                kept, went = page.kept(set(low or ()))
+                texts.append(page.text_of(kept))
+                counts.append(went)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string()), pa.array(counts, pa.int64())], names=["row", "text", "main", "low"])
 
     schema = whole.select("row", "text", F.lit("").alias("main"), F.lit(0).cast("long").alias("low")).schema
     done = joined.mapInArrow(run, schema)

@@ -51,6 +51,18 @@ def test_copies_of_a_page_keep_their_text(spark):
     assert {got[k] for k in range(5)} == {"The same story."} and {got[10 + k] for k in range(5)} == {"A shared passage."}
 
 
+def test_repeated_branches_inside_an_article_go(spark):
+    bar, box = '<div class="tools"><span>Print</span> <span>Mail</span></div>', '<section><p>Written by the desk.</p></section>'
+    rows = [(k, f"http://one.example/{k}", f"<body><main>{bar}<div><p>Story {k} is told here.</p></div>{box}</main></body>") for k in range(6)]
+    rows += [(20 + k, f"http://one.example/copy{k}", rows[0][2]) for k in range(60)]
+    got = {r.page_id: (r.main_text, r.removed_nodes) for r in html.main_text(pages(spark, rows)).collect()}
+    assert all(got[k] == (f"Story {k} is told here.", 3) for k in range(6))
+    assert all(got[k] == got[0] for k in range(20, 80))
+    only = [(k, f"http://two.example/{k}", f"<body><p>{k}</p><article><p>A shared passage.</p></article></body>") for k in range(5)]
+    got = html.main_text(pages(spark, only)).collect()
+    assert {(r.main_text, r.removed_nodes) for r in got} == {("A shared passage.", 0)}
+
+
 def test_importance_by_entropy(spark):
     # four pages: node 1 looks and reads alike, node 2 differs in content, node 3 in half of its looks and contents
     rows = [(1, p, n, look, content) for p in range(4) for n, look, content in ((1, 0, 0), (2, 0, p), (3, p % 2, p % 2))]
