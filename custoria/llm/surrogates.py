@@ -49,11 +49,20 @@ PATTERNS = {
 #: What a text must hold for a kind to be looked for.
 NEEDS = {"email": ("@",), "url_password": ("://",), "aws_key": ("AKIA", "ASIA"), "secret": ("=", ":")}
 DIGITS = {"iban": 8, "card": 13, "ip": 4, "ssn": 9, "phone": 9}
-#: Words that may begin a name, with what may stand around them.
-NAMED = frozenset(a + w + b for w in MALE | FEMALE | NEUTRAL | GIVEN_MALE | GIVEN_FEMALE if w != "m" for a in ("", '"', "'", "(", "“", "‘", "«", "„") for b in ("", "."))
+WORD = re.compile(_WORD)
+_DOTS = str.maketrans("İı", "ii")
 DIGIT = re.compile(r"\d")
 
 
+def _folded(text: str) -> str:
+    """Without case, as patterns that ignore it see a text."""
+    return text.translate(_DOTS).casefold()
+
+
+#: Words that begin a name, without case: all that the person pattern takes for a title, and the given names.
+NAMED = frozenset(_folded(w) for w in MALE | FEMALE | NEUTRAL | GIVEN_MALE | GIVEN_FEMALE if w != "m")
+
+
 def _luhn(digits: str) -> int:
     """Check digit that ``digits`` needs behind it."""
     total = sum(sum(divmod(2 * int(d), 10)) if k % 2 == 0 else int(d) for k, d in enumerate(reversed(digits)))
@@ -127,7 +136,7 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
         if digits < DIGITS.get(kind, 0) or kind in NEEDS and not any(x in text for x in NEEDS[kind]):
             continue
         if kind == "person":
-            if not NAMED.isdisjoint(text.lower().split()):
+            if not NAMED.isdisjoint(_folded(" ".join(set(WORD.findall(text)))).split(" ")):
                 out += [m for m in _people(text) if taken.add(m[0], m[1])]
             continue
         for m in pattern.finditer(text):
