@@ -36,8 +36,8 @@ _WORD = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
 _TITLES = "|".join(sorted((re.escape(t) for t in MALE | FEMALE | NEUTRAL if t != "m"), key=len, reverse=True))
 PATTERNS = {
     "email": re.compile(r"(?<![\w.+-])[\w.+-]{1,64}@(?:[^\W_](?:[\w-]{0,61}[^\W_])?\.)+[^\W\d_]{2,24}(?![\w-])"),
-    "url_password": re.compile(r"(?<=://)[^\s/:@]{1,64}:[^\s/@]{1,64}(?=@)"),
-    "secret": re.compile(r"(?i:(?<![a-z])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?)([A-Za-z0-9_/+.~-]{8,200}={0,2})"),
+    "url_password": re.compile(r"(?<=://)[^\s/:@]+:[^\s/@]+(?=@)"),
+    "secret": re.compile(r"(?i:(?<![a-z])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?)([A-Za-z0-9_/+.~-]{8,}={0,2})"),
     "aws_key": re.compile(r"(?<![A-Z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Z0-9])"),
     "iban": re.compile(r"(?<![A-Z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     "card": re.compile(r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?![\d-])"),

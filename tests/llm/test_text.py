@@ -158,6 +158,15 @@ def test_names_are_searched_wherever_the_pattern_finds_them():
     assert all(surrogates._folded(c) == surrogates._folded(x) for c in alike for x in letters if re.fullmatch(x, c, re.I))
 
 
+def test_long_secrets_go_whole(docs):
+    long = "".join(chr(97 + k * k % 23) + str(k % 10) for k in range(500))
+    rows = [(1, f"token={long}x and"), (2, f"token={long}y and"), (3, f"ftp://{long}:{long}@host.example/"), (4, f"api_key: {long}.{long}== end")]
+    got = {r.doc_id: r for r in surrogates.replace(docs(rows), b"key").collect()}
+    assert [(m.begin, m.end) for m in got[1].pii] == [(6, 1007)] and [(m.begin, m.end) for m in got[3].pii] == [(6, 2007)]
+    assert all(long[k : k + 12] not in r.text for r in got.values() for k in range(0, 980, 5))
+    assert got[1].text[6:1007] != got[2].text[6:1007] and got[4].text.endswith("== end")
+
+
 # ---- pipeline
 
 @pytest.fixture(scope="module")
