@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from custoria.llm.common import as_bytes, columns_of, rows_of
 from custoria.session import materialize
 
-#: Draws of one entity before the job gives up.
-DRAWS = 64
+#: Clashes after which an entity's surrogate comes from a wider space, which grows on with each clash.
+CLASHES = 3
+#: Draws of one entity before the job gives up: only numbers of a fixed length can need so many, when most of them are taken.
+DRAWS = 256
 
 # Titles and common given names, by gender.
 MALE = frozenset("mr mister sir herr monsieur m señor sr don signor г-н господин κύριος κος".split())
@@ -210,11 +212,15 @@ class Draw:
         new = letters[self.below(len(letters))]
         return new.upper() if c.isupper() else new
 
-    def name(self, kind: str, like: str) -> str:
+    def longer(self, text: str, letters: int) -> str:
+        """``like`` of a text with some letters behind it."""
+        return self.like(text) + "".join(ALPHABETS[0][self.below(26)] for _ in range(letters))
+
+    def name(self, kind: str, like: str, more: int = 0) -> str:
         """A name in the script of ``like``, of syllables, with an ending that shows its gender."""
         script = next((s for s in SYLLABLES if any(c in s[0] + s[1] for c in unicodedata.normalize("NFD", like.lower()))), SYLLABLES[0])
         consonants, vowels, endings = script
-        body = "".join(consonants[self.below(len(consonants))] + vowels[self.below(len(vowels))] for _ in range(2 + self.below(2)))
+        body = "".join(consonants[self.below(len(consonants))] + vowels[self.below(len(vowels))] for _ in range(2 + more + self.below(2)))
         return body + consonants[self.below(len(consonants))] + endings[{"given_f": 0, "given_m": 1}.get(kind, 2)]
 
 
@@ -228,21 +234,31 @@ SYLLABLES = (
 
 
 def surrogate(key: bytes, kind: str, name: str, attempt: int = 0) -> str:
-    """The canonical form of the entity that stands for another one of the same kind."""
+    """The canonical form of the entity that stands for another one of the same kind.
+
+    After CLASHES draws text grows by a letter or syllable a draw, and numbers of a fixed length come from wider ranges.
+    """
     draw = Draw(key, kind, name, attempt)
+    more = max(0, attempt - CLASHES + 1)
     if kind == "email":
         local, _, domain = name.rpartition("@")
         labels = domain.split(".")
         end = labels[-1] if labels[-1] in ("com", "org", "net") else "com"
         # one domain has one surrogate, whatever stands before it
         host = Draw(key, "domain", domain, 0).like(labels[0])
-        return f"{draw.like(local)}@{host}.example.{end}"
+        return f"{draw.longer(local, more)[-64:]}@{host}.example.{end}"
     if kind == "card":
         body = name[0] + "".join(str(draw.below(10)) for _ in name[1:-1])
         return body + str(_luhn(body))
     if kind == "ip":
         parts = [int(x) for x in name.split(".")]
         fixed = 1 if parts[0] in (10, 127) else 2 if parts[:2] == [192, 168] or parts[0] == 172 and 16 <= parts[1] < 32 else 0
+        if more > 16:  # any address
+            return ".".join(str(draw.below(256)) for _ in parts)
+        if more > 4:  # the reserved block, larger than all private ones
+            parts, fixed = [240 + draw.below(16), *parts[1:]], 1
+        elif more and fixed == 2:  # the largest private range
+            parts, fixed = [10, *parts[1:]], 1
         new = parts[:fixed] + [draw.below(254) + 1 for _ in parts[fixed:]]
         if not fixed:
             new[0] = [x for x in range(11, 224) if x not in (127, 172, 192)][draw.below(210)]
@@ -254,12 +270,14 @@ def surrogate(key: bytes, kind: str, name: str, attempt: int = 0) -> str:
         middle = "555" if name[3:6] == "555" and attempt < 8 else f"{draw.below(8) + 2}{draw.below(100):02d}"
         return f"{draw.below(8) + 2}{draw.below(100):02d}{middle}{draw.below(10000):04d}"
     if kind == "ssn":
+        if more > 16:  # any number; before, areas that are never issued
+            return f"{draw.below(10**9):09d}"
         return f"9{draw.below(100):02d}{draw.below(99) + 1:02d}{draw.below(9999) + 1:04d}"
     if kind == "aws_key":
         return name[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[draw.below(32)] for _ in name[4:])
     if kind.startswith(("given", "family")):
-        return draw.name(kind, name)
-    return draw.like(name)
+        return draw.name(kind, name, more)
+    return draw.like(name) if kind == "phone" else draw.longer(name, more)
 
 
 def written(kind: str, mention: str, new: str) -> str:

@@ -167,6 +167,21 @@ def test_long_secrets_go_whole(docs):
     assert got[1].text[6:1007] != got[2].text[6:1007] and got[4].text.endswith("== end")
 
 
+def test_small_spaces_of_surrogates_widen(spark, docs):
+    small = [("email", f"{c}@{d}.com") for c in "abcdefghijklmnopqrstuvwxyz0123456789_" for d in ("a", "b", "mail")]
+    small += [("secret", "--------"), ("secret", "........"), ("url_password", "a:*")]
+    small += [("ip", f"192.168.{a}.{b}") for a in range(160) for b in range(256)]
+    got = surrogates.assign(spark.createDataFrame(small, "kind string, name string"), b"k").collect()
+    assert len(got) == len(small) == len({(r.kind, r.surrogate) for r in got})
+    assert not {(r.kind, r.surrogate) for r in got} & set(small)
+    assert all(re.fullmatch(r"(192\.168|10\.\d+)\.\d+\.\d+", r.surrogate) for r in got if r.kind == "ip")
+    assert all(surrogates.PATTERNS["email"].fullmatch(r.surrogate) for r in got if r.kind == "email")
+    rows = [(k, f"mail {c}@a.com") for k, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    assert len({r.text for r in surrogates.replace(docs(rows), b"key").collect()}) == 26
+    for kind, name in (("ssn", "123456789"), ("phone", "4875557209"), ("card", "4041894974608795"), ("ip", "8.8.8.8")):
+        assert all(len(surrogates.surrogate(b"k", kind, name, a).split(".")) == len(name.split(".")) for a in range(40))
+
+
 # ---- pipeline
 
 @pytest.fixture(scope="module")
