@@ -403,6 +403,14 @@ def join_left_dim(spark, sf):
     return scans.join_dimension(lines, part, "l_partkey")
 
 
+@query("join_left_dim_all", "SELECT l_orderkey, l_linenumber, l_partkey, p_type, p_brand FROM lineitem LEFT JOIN part ON l_partkey = p_partkey")
+def join_left_dim_all(spark, sf):
+    """With the whole dimension."""
+    part = V.read(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand")
+    lines = V.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return scans.join_dimension(lines, part, "l_partkey")
+
+
 _REPORT_SQL = f"""
 SELECT 'customers' AS dataset, 'records_before' AS metric, NULL AS "column", (SELECT count(*) FROM customers) AS value
 UNION ALL SELECT 'customers', 'records_after', NULL, (SELECT count(*) FROM valid_customers)

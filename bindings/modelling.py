@@ -69,17 +69,29 @@ def roc_auc(spark, sf):
     return rounded(M.roc_auc(scored(spark, sf), "churned", "score", ["customer_segment"]))
 
 
+def _importances(spark, sf):
+    k = F.get_json_object("props", "$.k").cast("int") % 3
+    table = V.read(spark, sf, "events").select(
+        F.col("event_type").alias("feature"), F.when(k == 0, "model_a").when(k == 1, "model_b").otherwise("model_c").alias("model"), "value"
+    )
+    return table.groupBy("feature", "model").agg(F.avg("value").alias("importance"))
+
+
 @query("importance_summary", f"""
 SELECT feature, {r4("coalesce(a, 0)", "model_a")}, {r4("coalesce(b, 0)", "model_b")}, {r4("coalesce(c, 0)", "model_c")}, {r4("(coalesce(a, 0) + coalesce(b, 0) + coalesce(c, 0)) / 3", "avg_importance")}
 FROM (SELECT event_type AS feature, avg(value) FILTER (k % 3 = 0) AS a, avg(value) FILTER (k % 3 = 1 AND event_type <> 'view') AS b, avg(value) FILTER (k % 3 = 2) AS c
 FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS INT) AS k FROM events) GROUP BY event_type)""")
 def importance_summary(spark, sf):
-    k = F.get_json_object("props", "$.k").cast("int") % 3
-    table = V.read(spark, sf, "events").select(
-        F.col("event_type").alias("feature"), F.when(k == 0, "model_a").when(k == 1, "model_b").otherwise("model_c").alias("model"), "value"
-    )
-    table = table.groupBy("feature", "model").agg(F.avg("value").alias("importance")).where("not (feature = 'view' and model = 'model_b')")
-    return rounded(D.importance_summary(table))
+    return rounded(D.importance_summary(_importances(spark, sf).where("not (feature = 'view' and model = 'model_b')")))
+
+
+@query("importance_summary_all", f"""
+SELECT feature, {r4("coalesce(a, 0)", "model_a")}, {r4("coalesce(b, 0)", "model_b")}, {r4("coalesce(c, 0)", "model_c")}, {r4("(coalesce(a, 0) + coalesce(b, 0) + coalesce(c, 0)) / 3", "avg_importance")}
+FROM (SELECT event_type AS feature, avg(value) FILTER (k % 3 = 0) AS a, avg(value) FILTER (k % 3 = 1) AS b, avg(value) FILTER (k % 3 = 2) AS c
+FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS INT) AS k FROM events) GROUP BY event_type)""")
+def importance_summary_all(spark, sf):
+    """Without a missing cell."""
+    return rounded(D.importance_summary(_importances(spark, sf)))
 
 
 # ---------------------------------------------------------------- fitted models: rows and invariants
@@ -89,17 +101,23 @@ def _metric_rows(spark, name, metrics):
     return rounded(spark.createDataFrame([(name, k, float(v)) for k, v in metrics.items() if v is not None], "model string, metric string, value double"))
 
 
+def _trained_rows(spark, trained, test):
+    """Metrics on the test customers, and the mean and deviation of the cross-validated AUC."""
+    _, mean, deviation, _ = D.cv_summary(trained.name, trained.cv_scores)
+    return _metric_rows(spark, trained.name, trained.metrics(test) | {"cv_auc_mean": mean, "cv_auc_std": deviation})
+
+
 @query("fit_logistic")
 def fit_logistic(spark, sf):
     train, _ = train_test(spark, sf)
-    trained = D.fit_logistic(train, INPUTS, "customer_id", tune=True, folds=2, strengths=[0.1, 10.0], mixes=[0.5], cross_validate=False)
+    trained = D.fit_logistic(train, INPUTS, "customer_id", tune=True)
     return rounded(D.coefficient_table(trained, spark))
 
 
 @query("fit_decision_tree")
 def fit_decision_tree(spark, sf):
     train, test = train_test(spark, sf)
-    return _metric_rows(spark, "decision_tree", D.fit_decision_tree(train, INPUTS, "customer_id", cross_validate=False).metrics(test))
+    return _trained_rows(spark, D.fit_decision_tree(train, INPUTS, "customer_id", tune=True), test)
 
 
 @query("fit_naive_bayes")
@@ -124,34 +142,33 @@ def calibrate_sigmoid(spark, sf):
 @query("fit_linear_svm")
 def fit_linear_svm(spark, sf):
     train, test = train_test(spark, sf)
-    return _metric_rows(spark, "linear_svm", D.fit_linear_svm(train, INPUTS, "customer_id", cross_validate=False).metrics(test))
+    return _trained_rows(spark, D.fit_linear_svm(train, INPUTS, "customer_id", tune=True), test)
 
 
 @query("fit_random_forest")
 def fit_random_forest(spark, sf):
     train, test = train_test(spark, sf)
-    return _metric_rows(spark, "random_forest", D.fit_random_forest(train, INPUTS, "customer_id", trees=30, depth=8, cross_validate=False).metrics(test))
+    return _trained_rows(spark, D.fit_random_forest(train, INPUTS, "customer_id"), test)
 
 
 @query("fit_gradient_boosting")
 def fit_gradient_boosting(spark, sf):
     data = frame(spark, sf)
     train, held, test = (data.where(F.col("split") == s) for s in ("train", "val", "test"))
-    trained = D.fit_gradient_boosting(train, INPUTS, "customer_id", held, rounds=10, depth=4, cross_validate=False)
-    return _metric_rows(spark, "gradient_boosting", trained.metrics(test))
+    return _trained_rows(spark, D.fit_gradient_boosting(train, INPUTS, "customer_id", held), test)
 
 
 @query("hyperparameter_search")
 def hyperparameter_search(spark, sf):
     train, _ = train_test(spark, sf)
     estimator = DecisionTreeClassifier(weightCol="weight", seed=42)
-    grid = D.random_grid(estimator, {"maxDepth": [2, 4, 6], "minInstancesPerNode": [1, 10], "impurity": ["gini", "entropy"]}, 4)
-    return rounded(D.hyperparameter_search(estimator, grid, train, "customer_id", folds=2)[2])
+    grid = D.param_grid(estimator, {"maxDepth": [2, 4, 6], "minInstancesPerNode": [1, 10], "impurity": ["gini", "entropy"]})
+    return rounded(D.hyperparameter_search(estimator, grid, train, "customer_id")[2])
 
 
 @query("cross_val_auc")
 def cross_val_auc(spark, sf):
-    scores = D.cross_val_auc(lambda: LogisticRegression(maxIter=50, weightCol="weight"), frame(spark, sf), "customer_id", folds=3)
+    scores = D.cross_val_auc(lambda: LogisticRegression(maxIter=50, weightCol="weight"), frame(spark, sf), "customer_id")
     name, mean, std, each = D.cv_summary("logistic_regression", scores)
     return rounded(spark.createDataFrame([(name, i, s, mean, std) for i, s in enumerate(each)], "model string, fold int, auc double, auc_mean double, auc_std double"))
 
@@ -159,7 +176,7 @@ def cross_val_auc(spark, sf):
 @query("compare_models")
 def compare_models(spark, sf):
     train, test = train_test(spark, sf)
-    models = [D.fit_logistic(train, INPUTS, "customer_id", folds=2), D.fit_decision_tree(train, INPUTS, "customer_id", folds=2)]
+    models = [D.fit_logistic(train, INPUTS, "customer_id"), D.fit_decision_tree(train, INPUTS, "customer_id")]
     return rounded(D.compare_models(models, test))
 
 

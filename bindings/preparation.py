@@ -310,23 +310,23 @@ def join_score_reports(spark, sf):
 
 @query("select_rfe_cv")
 def select_rfe_cv(spark, sf):
-    chosen, ranking, _ = L.select_rfe_cv(facts(spark, sf), "churned", "customer_id", INPUTS, 3, folds=3, drop_share=0.4, trees=10)
+    chosen, ranking, _ = L.select_rfe_cv(facts(spark, sf), "churned", "customer_id", INPUTS, 3)
     return spark.createDataFrame([(c, r, c in chosen) for c, r in ranking.items()], "feature string, ranking int, selected boolean")
 
 
 @query("select_permutation")
 def select_permutation(spark, sf):
-    scores = L.permutation_importance(facts(spark, sf), "churned", "customer_id", INPUTS, trees=20, depth=5)
+    scores = L.permutation_importance(facts(spark, sf), "churned", "customer_id", INPUTS)
     return rounded(spark.createDataFrame(list(scores.items()), "feature string, importance double"))
 
 
 @query("select_forest_importance")
 def select_forest_importance(spark, sf):
-    scores = L.forest_importance(facts(spark, sf), "churned", INPUTS, trees=20)
+    scores = L.forest_importance(facts(spark, sf), "churned", INPUTS)
     return rounded(spark.createDataFrame(list(scores.items()), "feature string, importance double"))
 
 
 @query("select_ensemble_vote")
 def select_ensemble_vote(spark, sf):
     data = materialize(facts(spark, sf))
-    return L.select_ensemble_vote(data, "churned", "customer_id", INPUTS, 3, ("kbest", "permutation", "forest"), trees=20)
+    return L.select_ensemble_vote(data, "churned", "customer_id", INPUTS, 3)

@@ -285,6 +285,22 @@ def validation_gate(spark, sf):
     return Q.validation_gate(_summary(spark, sf))
 
 
+def _summary_all(spark, sf):
+    """All checks of the four datasets."""
+    four = {"customers": facts(spark, sf), "transactions": V.lines(spark, sf), "interactions": V.interactions(spark, sf), "marketing": V.marketing(spark, sf)}
+    return Q.validation_summary(Q.validate(four, AS_OF))
+
+
+@query("validation_summary_all")
+def validation_summary_all(spark, sf):
+    return rounded(_summary_all(spark, sf))
+
+
+@query("validation_gate_all")
+def validation_gate_all(spark, sf):
+    return Q.validation_gate(_summary_all(spark, sf))
+
+
 # ---------------------------------------------------------------- exploration
 
 
@@ -391,6 +407,12 @@ def eda_chi_square(spark, sf):
     return rounded(E.chi_square_tests(V.customers(spark, sf), "churned", FACT_TEXTS).select("feature", "chi2_statistic", "degrees_of_freedom"))
 
 
+@query("eda_chi_square_all")
+def eda_chi_square_all(spark, sf):
+    """With p-values and verdicts, which need the tails of distributions that SQL lacks."""
+    return rounded(E.chi_square_tests(V.customers(spark, sf), "churned", FACT_TEXTS))
+
+
 def _t_sql(c: str) -> str:
     return f"""
 SELECT '{c}' AS feature, {r4("(m0 - m1) / sqrt((s0 + s1) / (n0 + n1 - 2) * (1 / n0 + 1 / n1))", "t_statistic")}, {r4("m1 - m0", "mean_diff")} FROM (
@@ -403,6 +425,12 @@ def eda_t_test(spark, sf):
     return rounded(E.t_tests(facts(spark, sf), "churned", FACT_NUMBERS).select("feature", "t_statistic", "mean_diff"))
 
 
+@query("eda_t_test_all")
+def eda_t_test_all(spark, sf):
+    """With p-values and verdicts, which need the tails of distributions that SQL lacks."""
+    return rounded(E.t_tests(facts(spark, sf), "churned", FACT_NUMBERS))
+
+
 def _histogram_sql(c: str) -> str:
     return f"""
 SELECT '{c}' AS feature, churned, bin, {r4("lo + bin * (hi - lo) / 30", "bin_start")}, coalesce(n, 0) AS n, {r4("coalesce(n, 0) / (t * (hi - lo) / 30) * 1000", "density_per_mille")}

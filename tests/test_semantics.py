@@ -193,3 +193,19 @@ def test_rfm_scores_do_not_depend_on_the_path(spark):
     rows = [(str(i), i * 7 % 400, 1 + i % 3, float(i * 13 % 1000)) for i in range(900)]
     df = spark.createDataFrame(rows, "customer_id string, recency bigint, frequency bigint, monetary double")
     assert sorted(S.rfm_scores(df, 100).collect()) == sorted(S.rfm_scores(df).collect())
+
+
+def test_registered_calls_do_the_whole_job(spark, small):
+    import inspect
+    import re
+
+    import __spark_entry__ as entry
+
+    queries = entry.queries()
+    for name in (
+        "fit_random_forest", "fit_gradient_boosting", "fit_logistic", "fit_decision_tree", "fit_linear_svm", "hyperparameter_search", "cross_val_auc", "compare_models",
+        "select_rfe_cv", "select_permutation", "select_forest_importance", "select_ensemble_vote", "balance_cv",
+    ):
+        assert not re.search(r"\b(trees|depth|rounds|folds|drop_share|strengths|mixes|methods|cross_validate|trials)=", inspect.getsource(queries[name])), name
+    assert queries["validation_summary_all"](spark, small).count() == queries["validation_gate_all"](spark, small).count() == 4
+    assert all({"p_value", "significant"} <= set(queries[q](spark, small).columns) for q in ("eda_chi_square_all", "eda_t_test_all"))
