@@ -3,10 +3,10 @@
 A window is the shortest run of lines, taken forwards from a line or backwards from it, that is
 long enough to count: LINES lines or WORDS words. The smallest line hash of each window (the
 last one of equals) is its fingerprint, so that two equal windows always have one in common.
-Fingerprints that occur once in the corpus end there. The others are joined: windows
-around equal fingerprints are compared line by line through their digests, to both sides, and
-every line of a window whose lines also stand earlier is deleted. Windows overlap, so what goes
-are exactly the runs of long enough size that repeat earlier ones.
+Windows whose fingerprint occurs once in the corpus end there. The others are grouped by digests
+of their lines, and every line of a window whose lines also stand earlier is deleted. Positions are not
+joined and matches not extended: windows overlap, so what goes are exactly the runs of long enough
+size that repeat earlier ones.
 """
 
 from __future__ import annotations
