@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custoria.llm import ctw, decontaminate, html, linededup, quality, sentencepiece, sharding, simhash, suffixdedup, surrogates
+from custoria.llm import alignment, ctw, decontaminate, html, linededup, quality, sentencepiece, sharding, simhash, suffixdedup, surrogates
 
 TOKENIZER = "piece_bpe_32k.model"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 #: Of the registered query only; an own secret is passed to the operator.
 SURROGATE_KEY = b"registered query"
 
@@ -93,7 +94,14 @@ def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = alignment.score(docs, public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(TOKENIZER))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html, op2_line_dedup, op3_suffix_dedup, op4_sharding, op5_surrogates, op6_quality, op7_sentencepiece, op8_simhash, op9_decontaminate, op10_ctw)
+    f.__name__: f for f in (op1_html, op2_line_dedup, op3_suffix_dedup, op4_sharding, op5_surrogates, op6_quality, op7_sentencepiece, op8_simhash, op9_decontaminate, op10_ctw, op13_alignment)
 }
 ORACLES: dict[str, str] = {"op2_line_dedup": linededup.SQL, "op4_sharding": sharding.SQL}
