@@ -24,6 +24,7 @@ from types import ModuleType
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -46,6 +47,10 @@ ADDED = ["n_a", "n_b", "n_groups", "n_links", "groups", "n_best", "count_sum"]
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Pieces that are encoded as one text.
 TOGETHER = 1000
+# Fixed value: the pattern by which byte-level vocabularies split text into words.
+WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters whose classes are the same in every version of Unicode.
+LATIN = "\u0250"
 
 
 def byte_letters() -> dict[str, int]:
@@ -63,10 +68,11 @@ def _odd(piece: str) -> bool:
 class Aligner:
     """Both tokenizers, the bytes of their ids, and the pieces of text aligned so far."""
 
-    def __init__(self, a_file: str, b_file: bytes):
+    def __init__(self, a_file: str, b_file: bytes, shown: bool = True):
         self.a = tokenizers.Tokenizer.from_str(a_file)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
+        self.shown = shown
         letters = byte_letters()
         added = {t["id"] for t in json.loads(a_file).get("added_tokens", [])}
         words = {i: w for w, i in self.a.get_vocab(with_added_tokens=True).items()}
@@ -90,44 +96,63 @@ class Aligner:
         self.cuts = bool(plain) and not any(SPACE in piece(i).lstrip(SPACE) for i in usual)
         self.a_text = np.array([[f"{i},", f"{i}|"] for i in range(len(self.a_bytes))], object)
         self.b_text = np.array([[f"{i},", f"{i};"] for i in range(self.n_b)], object)
+        self.quick = self._quick(json.loads(a_file))
         self.forget()
 
+    def _quick(self, file: dict):
+        """A faster encoder of the same vocabulary and merges for Latin text, where the file is of the form that it knows."""
+        at_words, model = file.get("pre_tokenizer") or {}, file["model"]
+        plain = at_words.get("type") == "ByteLevel" and at_words.get("use_regex") and not at_words.get("add_prefix_space") and not file.get("normalizer")
+        merged = [m.replace(" ", "") if isinstance(m, str) else "".join(m) for m in model.get("merges", ())]
+        vocabulary = model.get("vocab", {})
+        order = sorted(vocabulary, key=vocabulary.get)
+        if not plain or order[256:] != merged or len({*map(len, order[:256])}) != 1 or model.get("ignore_merges"):
+            return None
+        ranks = {self.a_bytes[vocabulary[w]]: vocabulary[w] for w in order}
+        return tiktoken.Encoding("a", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
     def forget(self) -> None:
         self.place: dict[str, int] = {}
         self.texts: list[str] = []
         self.numbers = np.zeros((1024, 4), np.int64)  # A tokens, B tokens, groups, 1 if valid
         self.codes = np.zeros(8192, np.int64)
         self.starts = np.zeros(1025, np.int64)
-        self.chars = 0
-
-    def pieces(self, text: str) -> list[str]:
-        """The pieces under which ``text`` is kept. Most texts can be split at every space; one with a space at
-        an end or beside other white space is cut where CUT says, and such a piece is kept behind a space."""
-        if not self.cuts:
-            return [" " + text]
-        found = text.split(" ")
-        if any(_odd(p) for p in found if p not in self.place):
+        self.chars = self.dropped = 0
+
+    def pieces(self, text: str) -> tuple[list[str], list[int | None]]:
+        """The pieces under which ``text`` is kept, and their places. Most texts can be split at every space; one with a
+        space at an end or beside other white space is cut where CUT says, and such a piece is kept behind a space."""
+        found = text.split(" ") if self.cuts else [" " + text]
+        at = list(map(self.place.get, found))
+        if self.cuts and None in at and any(_odd(p) for p, i in zip(found, at) if i is None):
             found = [" " + p if _odd(p) else p for p in CUT.split(text)]
-        return found
+            at = list(map(self.place.get, found))
+        return found, at
 
     def learn(self, new: list[str]) -> None:
         """Align pieces that were not met before: many at once, in one text, or each for itself."""
         usual = [p for p in new if p[0] != " "] if self.cuts else []
-        texts = [usual[i : i + TOGETHER] for i in range(0, len(usual), TOGETHER)]
-        texts += [[p] for p in new if not self.cuts or p[0] == " "]
-        while texts:
-            texts = [[p] for text in self._learn(texts) for p in text]
-
-    def _learn(self, texts: list[list[str]]) -> list[list[str]]:
+        latin = [p for p in usual if max(p) < LATIN] if self.quick else []
+        others = [p for p in usual if not max(p) < LATIN] if self.quick else usual
+        single = [[p] for p in new if not self.cuts or p[0] == " "]
+        for pieces, quick in ((latin, True), (others, False)):
+            texts = [pieces[i : i + TOGETHER] for i in range(0, len(pieces), TOGETHER)]
+            while texts:
+                texts = [[p] for text in self._learn(texts, quick) for p in text]
+        if single:
+            self._learn(single, False)
+
+    def _learn(self, texts: list[list[str]], quick: bool) -> list[list[str]]:
         """Align texts made of pieces; those of several pieces that do not come back byte by byte are returned."""
         joined = [" ".join(pieces).removeprefix(" ") if pieces[0][0] == " " else " ".join(pieces) for pieces in texts]
         data = [b" " + t.encode() for t in joined]
-        a_ids = [e.ids for e in self.a.encode_batch([" " + t for t in joined], add_special_tokens=False)]
+        if quick:
+            a_ids = [self.quick(" " + t) for t in joined]
+        else:
+            a_ids = [e.ids for e in self.a.encode_batch([" " + t for t in joined], add_special_tokens=False)]
         b_ids = self.b.encode(joined, num_threads=1)
         a_bytes, b_bytes = self.a_bytes, self.b_bytes
-        valid = [
-            b"".join([a_bytes[i] for i in x]) == d and b"".join([b_bytes[i] for i in y]) == d for x, y, d in zip(a_ids, b_ids, data)
-        ]
+        valid = [b"".join([a_bytes[i] for i in x]) == b"".join([b_bytes[i] for i in y]) == d for x, y, d in zip(a_ids, b_ids, data)]
         bad = [t for t, ok in zip(texts, valid) if not ok and len(t) > 1]
         rest = [i for i, (t, ok) in enumerate(zip(texts, valid)) if ok or len(t) == 1]
         new = list(chain.from_iterable(texts[i] for i in rest))
@@ -142,7 +167,7 @@ class Aligner:
         common, every = every[1:][twice], every[np.concatenate([[True] * (len(every) > 0), ~twice])]
         codes = a[np.searchsorted(a_end, every)] * self.n_b + b[np.searchsorted(b_end, every)]
         groups, links, n_a, n_b = (np.diff(np.searchsorted(x, piece_end, "right"), prepend=0) for x in (common, every, a_end, b_end))
-        out = np.empty(len(a) + len(b), object)
+        out = np.empty(len(a) + len(b) if self.shown else 0, object)
         if len(out):
             # tokens in the order of the text form: those of A and then those of B, group by group
             a_through, b_through = np.searchsorted(a_end, common, "right"), np.searchsorted(b_end, common, "right")
@@ -150,7 +175,7 @@ class Aligner:
             before = np.concatenate([[0], b_through])[a_group]
             out[np.arange(len(a)) + before] = self.a_text[a, (common[a_group] == a_end).astype(int)]
             out[np.arange(len(b)) + a_through[b_group]] = self.b_text[b, (common[b_group] == b_end).astype(int)]
-        ends = (n_a + n_b).cumsum().tolist()
+        ends = (n_a + n_b).cumsum().tolist() if self.shown else [0] * len(new)
         shown = out.tolist()
         known, more = len(self.texts), len(new)
         self.place.update(zip(new, range(known, known + more)))
@@ -166,17 +191,18 @@ class Aligner:
         self.chars += sum(map(len, new))
         return bad
 
-    def align(self, texts: list[str | None], shown: bool) -> tuple[np.ndarray, list[str] | None, np.ndarray, np.ndarray, np.ndarray]:
-        """Per text the numbers of A tokens, B tokens, groups and links, and the groups as text if
+    def align(self, texts: list[str | None]) -> tuple[np.ndarray, list[str] | None, np.ndarray, np.ndarray, np.ndarray]:
+        """Per text the numbers of A tokens, B tokens, groups and links, and the groups as text if they are
         ``shown``; per (text, distinct link) the text's place, the link's code and how often it occurs."""
-        if len(self.texts) > KEPT or self.chars > KEPT_CHARS:
-            self.forget()
-        cut = [self.pieces(t) if t else [] for t in texts]
-        new = list({p: None for p in chain.from_iterable(cut) if p not in self.place})
+        cut, places = zip(*(self.pieces(t) if t else ([], []) for t in texts)) if texts else ((), ())
+        new = list({p: None for pieces, at in zip(cut, places) if None in at for p, i in zip(pieces, at) if i is None})
+        full = len(self.texts) > KEPT or self.chars > KEPT_CHARS
+        mark = len(self.texts), self.chars
         if new:
             self.learn(new)
-        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(cut)), np.int64, sizes.sum())
+        places = [list(map(self.place.__getitem__, pieces)) if None in at else at for pieces, at in zip(cut, places)]
+        sizes = np.fromiter(map(len, places), np.int64, len(places))
+        at = np.fromiter(chain.from_iterable(places), np.int64, sizes.sum())
         owner = np.repeat(np.arange(len(cut)), sizes)
         invalid = np.bincount(owner, self.numbers[at, 3] == 0, len(cut)) > 0
         keep = ~invalid[owner]
@@ -190,18 +216,27 @@ class Aligner:
         keys, often = np.unique(np.repeat(owner, n) * space + self.codes[spread], return_counts=True)
         counts[:, 3] = np.bincount(owner, n, len(cut))
         groups = None
-        if shown:
+        if self.shown:
             ends = np.searchsorted(owner, np.arange(len(cut)), "right").tolist()
             texts_of, at = self.texts, at.tolist()
             groups = [";".join([texts_of[i] for i in at[s:e]]) for s, e in zip([0, *ends], ends)]
+        if full:  # what is kept are the pieces met first, mostly the frequent ones
+            for piece in new:
+                del self.place[piece]
+            del self.texts[mark[0] :]
+            self.chars = mark[1]
+            self.dropped += len(new)
+            if self.dropped > 4 * KEPT:
+                self.forget()
         return counts, groups, keys // space, keys % space, often
 
 
-def aligner(files) -> Aligner:
-    """The tokenizers in the broadcast ``files``, made once in each worker process."""
+def aligner(files, shown: bool) -> Aligner:
+    """The tokenizers in the broadcast ``files``, made once in each worker process, which keeps one of them."""
     kept = sys.modules.setdefault("custoria_worker_aligners", ModuleType("custoria_worker_aligners")).__dict__
-    if kept.get("key") != files.value[2]:
-        kept.update(key=files.value[2], made=Aligner(*files.value[:2]))
+    key = (*files.value[2], shown)
+    if kept.get("key") != key:
+        kept.update(key=key, made=Aligner(*files.value[:2], shown))
     return kept["made"]
 
 
@@ -243,11 +278,11 @@ def align(df: DataFrame, a_path: str, b_path: str, column: str = "text") -> Data
     schema = T.StructType([*named.schema.fields, *(T.StructField(n, k) for n, k in zip(new, kinds))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = aligner(files)
+        tool = aligner(files, True)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for start, end in _slices([len(t or "") for t in texts]):
-                counts, groups, owner, code, often = tool.align(texts[start:end], True)
+                counts, groups, owner, code, often = tool.align(texts[start:end])
                 sizes = np.bincount(owner, minlength=end - start)
                 lists = [_list(x, sizes, k) for x, k in ((code // tool.n_b, pa.int32()), (code % tool.n_b, pa.int32()), (often, pa.int64()))]
                 numbers = [pa.array(counts[:, i]) for i in range(4)]
@@ -277,7 +312,7 @@ def score(df: DataFrame, a_path: str, b_path: str, column: str = "text") -> Data
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of documents with their block, after each block its irregular links, at the end the identity vector."""
-        tool = aligner(files)
+        tool = aligner(files, False)
         block, size = TaskContext.get().partitionId() << 24, 0
         vector = np.zeros(len(tool.a_bytes), np.int64)
         held: list[np.ndarray] = []
@@ -299,7 +334,7 @@ def score(df: DataFrame, a_path: str, b_path: str, column: str = "text") -> Data
                 if size >= BLOCK:
                     yield rest(block, *merged())
                     block, size, held = block + 1, 0, []
-                _, _, _, code, _ = tool.align(texts[start:end], False)
+                _, _, _, code, _ = tool.align(texts[start:end])
                 a = code // tool.n_b
                 same = tool.same[a] == code % tool.n_b
                 vector += np.bincount(a[same], minlength=len(vector))
@@ -321,7 +356,7 @@ def score(df: DataFrame, a_path: str, b_path: str, column: str = "text") -> Data
     asked = filled.where("block >= 0 AND codes IS NOT NULL").select(F.col("block").alias("place"), F.explode(F.arrays_zip("codes", "docs")).alias("x"))
     asked = asked.select("place", F.col("x.codes").alias("code"), F.col("x.docs").alias("docs"))
     totals = materialize(asked.groupBy("code").agg(F.sum("docs").alias("total")))
-    here = Aligner(*files.value[:2])
+    here = Aligner(*files.value[:2], False)
     width = here.n_b
     identity = np.zeros(len(here.a_bytes), np.int64)
     for row in vectors.where("docs > 0").collect():
@@ -337,14 +372,14 @@ def score(df: DataFrame, a_path: str, b_path: str, column: str = "text") -> Data
     carried = named.columns
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
-        tool = aligner(files)
+        tool = aligner(files, True)
         identity, best = shared.value
         codes, first = np.unique(right.column("code").to_numpy(), return_index=True)
         total = right.column("total").to_numpy()[first]
         made = []
         texts = left.column("text").to_pylist()
         for start, end in list(_slices([len(t or "") for t in texts])) or [(0, 0)]:
-            counts, groups, owner, code, often = tool.align(texts[start:end], True)
+            counts, groups, owner, code, often = tool.align(texts[start:end])
             a = code // width
             same = tool.same[a] == code % width
             held = np.zeros(len(code), np.int64)
