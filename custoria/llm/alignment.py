@@ -164,7 +164,7 @@ class Aligner:
         piece_end = np.where(good, sizes, 0).cumsum()
         every = np.sort(np.concatenate([a_end, b_end]), kind="stable")
         twice = every[1:] == every[:-1]
-        common, every = every[1:][twice], every[np.concatenate([[True] * (len(every) > 0), ~twice])]
+        common, every = every[1:][twice], every[np.append(np.ones(min(1, len(every)), bool), ~twice)]
         codes = a[np.searchsorted(a_end, every)] * self.n_b + b[np.searchsorted(b_end, every)]
         groups, links, n_a, n_b = (np.diff(np.searchsorted(x, piece_end, "right"), prepend=0) for x in (common, every, a_end, b_end))
         out = np.empty(len(a) + len(b) if self.shown else 0, object)
