@@ -94,7 +94,7 @@ def table_sink(spark, sf):
     """Replace, then append: every row is there twice."""
     rows = V.transactions(spark, sf).select("transaction_id", "total_amount")
     path = workspace(spark)
-    name = "sink_" + path.rsplit("-", 1)[-1]
+    name = "sink_" + path.rsplit("/", 1)[-1]
     sinks.write_table(rows, name, "replace", path)
     return sinks.write_table(rows, name, "append", path)
 

@@ -57,24 +57,53 @@ def row_positions(df: DataFrame, order: list[str], bounded_rows: int = BOUNDED_R
     return out.select(*stored.columns, (F.col("_o") + inner + 1).alias("position"))
 
 
-def percent_ranks(df: DataFrame, columns: list[str], bounded_rows: int = BOUNDED_ROWS) -> DataFrame:
-    """Rows (feature, value, pct_rank): average rank of ties over the non-null count."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
-    counted = (
-        df.select(F.inline(pairs)).where("value is not null").groupBy("feature", "value").agg(F.count("*").alias("n"))
+def _places(rows: DataFrame, bounded_rows: int) -> DataFrame:
+    """(_key, feature, before, ties) of rows (_key, feature, value): how many values of the feature are smaller, and how many equal.
+
+    A larger table is ranged by value and key, so a value that very many rows share is spread over
+    several parts. Only a part's first and last value can go on in others; these are added up apart.
+    """
+    rows = materialize(rows)
+    inside, same = W.partitionBy("feature").orderBy("value"), W.partitionBy("feature", "value")
+    if rows.count() <= bounded_rows:
+        return rows.select("_key", "feature", (F.rank().over(inside) - 1).cast("long").alias("before"), F.count("*").over(same).alias("ties"))
+    ranged = materialize(rows.repartitionByRange("feature", "value", "_key").withColumn("_part", F.spark_partition_id()))
+    parts = ranged.groupBy("feature", "_part").agg(F.count("*").alias("_n"), F.min("value").alias("_low"), F.max("value").alias("_high"))
+    ahead = W.partitionBy("feature").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    # one row per part, and per feature that ends in it
+    parts = F.broadcast(materialize(parts.withColumn("_offset", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))))
+    joined = ranged.join(parts, ["feature", "_part"])
+    edges = joined.where("value = _low OR value = _high").groupBy("feature", "_part", "value").agg(
+        F.count("*").alias("_ties"), F.first("_n").alias("_n"), F.first("_low").alias("_low"), F.first("_offset").alias("_offset")
     )
-    running = running_totals(counted, ["value"], ["n"], ["feature"], bounded_rows)
-    total = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    size = F.create_map(*[x for c in columns for x in (F.lit(c), F.lit(float(max(total[c], 1))))])
-    rank = F.col("run_n") - (F.col("n") - 1) / 2
-    return running.select("feature", "value", (rank / size[F.col("feature")]).alias("pct_rank"))
+    first = F.col("_offset") + F.when(F.col("value") == F.col("_low"), 0).otherwise(F.col("_n") - F.col("_ties"))
+    edges = edges.groupBy("feature", "value").agg(F.sum("_ties").alias("_all"), F.min(first).alias("_first"))
+    edges = F.broadcast(materialize(edges))  # at most two rows per part and feature
+    inside, same = W.partitionBy("feature", "_part").orderBy("value"), W.partitionBy("feature", "_part", "value")
+    placed = joined.select("_key", "feature", "value", (F.col("_offset") + F.rank().over(inside) - 1).alias("_before"), F.count("*").over(same).alias("_same"))
+    placed = placed.join(edges, ["feature", "value"], "left")
+    return placed.select("_key", "feature", F.coalesce("_first", "_before").alias("before"), F.coalesce("_all", "_same").alias("ties"))
 
 
 def attach_percent_ranks(df: DataFrame, columns: dict[str, str], bounded_rows: int = BOUNDED_ROWS) -> DataFrame:
-    """Add one percent-rank column per entry of {source column: output name}; null stays null."""
-    ranks = materialize(percent_ranks(df, list(columns), bounded_rows))
-    out = df
-    for source, name in columns.items():
-        mine = ranks.where(F.col("feature") == source).select(F.col("value").alias("_v"), F.col("pct_rank").alias(name))
-        out = out.join(mine, out[source].cast("double") == F.col("_v"), "left").drop("_v")
-    return out
+    """Add one percent-rank column per entry of {source column: output name}: the average rank of ties over the
+    count of values. Null stays null; infinite values and NaN, the largest of all, get their known rank from counts.
+
+    The rows are stored once under a key of their own. Ranks come back by one join on that key.
+    """
+    stored = materialize(df.withColumn("_key", F.monotonically_increasing_id()))
+    value = {c: F.col(c).cast("double") for c in columns}
+    counts = stored.agg(*[
+        f.alias(f"{i}_{kind}") for i, c in enumerate(columns)
+        for kind, f in (("all", F.count(c)), ("inf", F.count_if(value[c] == float("inf"))), ("nan", F.count_if(F.isnan(value[c]))))
+    ]).first()
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), value[c].alias("value")) for c in columns])
+    finite = stored.select("_key", F.inline(pairs)).where(F.col("value") < float("inf"))
+    rank = F.col("before") + (F.col("ties") + 1) / 2
+    ranks = _places(finite, bounded_rows).groupBy("_key").agg(*[F.max(F.when(F.col("feature") == c, rank)).alias(n) for c, n in columns.items()])
+    out = stored.join(ranks, "_key", "left")
+    for i, (c, name) in enumerate(columns.items()):
+        size, inf, nan = (counts[f"{i}_{kind}"] for kind in ("all", "inf", "nan"))
+        known = F.when(F.isnan(value[c]), F.lit(size - nan + (nan + 1) / 2)).when(value[c] == float("inf"), F.lit(size - nan - inf + (inf + 1) / 2))
+        out = out.withColumn(name, known.otherwise(F.col(name)) / max(size, 1))
+    return out.drop("_key")

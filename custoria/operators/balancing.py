@@ -72,12 +72,11 @@ def _classes(df: DataFrame) -> tuple:
 def undersample_random(df: DataFrame, seed: int = SEED) -> DataFrame:
     """As many rows of every class as the smallest has, the first in md5 order."""
     df = df.where(F.col("label").isNotNull())  # rows without a label are of no class
-    counts = class_counts(df, "label")
-    if not counts:
-        return df
-    size = min(counts.values())
-    parts = {c: [("keep", size)] for c in counts}
-    return cut_classes(df, "label", "id", parts, "drop", seed, "_part", counts).where("_part = 'keep'").drop("_part")
+
+    def parts(counts: dict) -> dict:
+        return {c: [("keep", min(counts.values()))] for c in counts}
+
+    return cut_classes(df, "label", "id", parts, "drop", seed, "_part").where("_part = 'keep'").drop("_part")
 
 
 def tomek_links(df: DataFrame) -> DataFrame:

@@ -124,7 +124,7 @@ def test_stages_run_and_resume(spark, people):
 
 @pytest.mark.parametrize("bound", [1_000_000, 100])
 def test_split_is_exact_disjoint_and_stable(people, bound):
-    parts = P.split_stratified(people, "churned", "customer_id", bounded_rows=bound)
+    parts = P.split_stratified(people, "churned", "customer_id", few_rows=bound)
     counts = {(r["split"], r["churned"]): r["count"] for r in parts.groupBy("split", "churned").count().collect()}
     for y in (0, 1):
         n = people.where(F.col("churned") == y).count()
