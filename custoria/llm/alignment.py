@@ -38,7 +38,7 @@ from custoria.session import materialize
 #: Bytes of text in a block; its last document may go beyond.
 BLOCK = 8 << 20
 #: Pieces of text kept with their alignment per worker, and characters of them.
-KEPT, KEPT_CHARS = 500_000, 16 << 20
+KEPT, KEPT_CHARS = 300_000, 8 << 20
 #: Rows and characters of one slice of work.
 ROWS, CHARS = 512, 4 << 20
 #: Entries of the identity vector that travel as one row.

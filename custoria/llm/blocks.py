@@ -7,6 +7,8 @@ block and bucket, in place of one row per key; answers come back in the order of
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 from collections.abc import Callable, Iterator
 from math import ceil
@@ -14,14 +16,20 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custoria.llm.common import as_bytes
 from custoria.session import workspace
 
-#: Bytes of a block; its last document may go beyond.
-BLOCK = 8 << 20
+#: Bytes of a block; its last document may go beyond. Buckets of the stored table at most; Spark allows 100,000.
+BLOCK, TABLE_BUCKETS = 8 << 20, 50_000
+
+
+def _forget(spark: SparkSession, name: str) -> None:
+    """Take the table out of the catalogue, if the application still runs."""
+    with contextlib.suppress(Exception):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -54,7 +62,7 @@ def record(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
 
 
 def stored(df: DataFrame, id_column: str, column: str, body: Callable[[bytes], bytes]) -> tuple[DataFrame, int]:
-    """The table (id, block, body) of all rows, a null text as empty, and a number of buckets that fits it.
+    """The table (id, block, body) of all rows, a null text as empty, and a number of buckets for its keys.
 
     The table lies in the workspace and is bucketed by block. A block is filled by one task in
     the order in which it reads; its number names the task's part and the place in it.
@@ -63,6 +71,7 @@ def stored(df: DataFrame, id_column: str, column: str, body: Callable[[bytes], b
     kept = df.select(F.col(id_column).alias("id"), F.col(column).alias("text"))
     total = kept.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(64, ceil(total / BLOCK))
+    files = min(buckets, TABLE_BUCKETS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 24
@@ -81,5 +90,6 @@ def stored(df: DataFrame, id_column: str, column: str, body: Callable[[bytes], b
 
     filled = kept.mapInArrow(run, f"id {kept.schema['id'].dataType.simpleString()}, block long, body binary")
     name = f"blocks_{uuid.uuid4().hex}"
-    filled.write.bucketBy(buckets, "block").option("path", workspace(spark)).saveAsTable(name)
+    filled.write.bucketBy(files, "block").option("path", workspace(spark)).saveAsTable(name)
+    atexit.register(_forget, spark, name)
     return spark.table(name), buckets

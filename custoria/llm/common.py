@@ -13,6 +13,8 @@ from custoria.session import materialize
 
 #: Rows per Arrow batch that leaves a task, so that wide results stay small in memory.
 ROWS_OUT = 512
+#: Narrow rows of a partition where a table is gathered.
+ROWS_TOGETHER = 100_000
 
 
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
@@ -55,6 +57,11 @@ def map_batches(df: DataFrame, columns: list[str], fn: Callable[[pa.RecordBatch]
     return kept.mapInArrow(run, schema)
 
 
+def gathered(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of ``rows`` narrow rows in as few partitions as hold them: many small steps over it then need few tasks."""
+    return df.coalesce(max(1, -(-rows // ROWS_TOGETHER)))
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of the links (a, b) as rows (node, component).
 
@@ -74,6 +81,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         return df.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).first()
 
     before = state(links)
+    links = gathered(links, before[0])
     for _ in range(rounds):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -86,6 +94,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if now == before:
             break
         before = now
+        links = gathered(links, now[0])
     else:
         raise RuntimeError("components did not settle")
     leaves = links.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -27,8 +27,8 @@ from custoria.session import materialize
 WINDOW = 13
 #: Words of a shard (its last document may go beyond), and distance of the stored suffix positions.
 SHARD_WORDS, SAMPLE = 1_000_000, 8
-#: Bytes of test text that are sent to the tasks at once.
-BLOCK_BYTES = 8 << 20
+#: Bytes of test text that are sent to the tasks at once, and windows that are looked up at a time.
+BLOCK_BYTES, PHRASES = 8 << 20, 1 << 16
 #: Maps A-Z to a-z and every other ASCII byte but letters and digits to a space; words are what is left between spaces.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -140,22 +140,43 @@ class FMIndex:
 
 
 class Phrases:
-    """Windows of a block of test items, as symbols of the block's own vocabulary."""
+    """Windows of a block of test items, as symbols of the block's own vocabulary.
+
+    The items' symbols lie in one array; a distinct window is a place in it, with a range in the list of the ids that own it.
+    """
 
     def __init__(self, items: list[tuple[object, list[bytes]]], window: int):
         self.symbol: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[int]] = defaultdict(set)
-        self.ids = [i for i, _ in items]
-        for k, (_, tokens) in enumerate(items):
-            coded = [self.symbol.setdefault(w, len(self.symbol) + 1) for w in tokens]
-            if coded:
-                for start in range(max(1, len(coded) - window + 1)):
-                    owners[tuple(coded[start : start + window])].add(k)
-        by_length: dict[int, list[tuple[int, ...]]] = defaultdict(list)
-        for phrase in owners:
-            by_length[len(phrase)].append(phrase)
-        self.groups = [(n, np.array(p, np.int64), [sorted(owners[x]) for x in p]) for n, p in sorted(by_length.items())]
-        self.shortest = min(by_length, default=0)
+        self.ids = sorted({str(i) for i, tokens in items if i is not None and tokens})
+        place = {i: k for k, i in enumerate(self.ids)}
+        sizes = np.array([len(tokens) for _, tokens in items], np.int64)
+        symbols = (self.symbol.setdefault(w, len(self.symbol) + 1) for _, tokens in items for w in tokens)
+        self.codes = np.fromiter(symbols, np.int64, int(sizes.sum()))
+        own = np.array([place.get(str(i), -1) if i is not None else -1 for i, _ in items], np.int64)
+        begin = np.concatenate([[0], sizes.cumsum()[:-1]]) if len(sizes) else sizes
+        self.groups = []
+        for n in np.unique(np.minimum(sizes, window)).tolist():
+            mine = np.flatnonzero((np.minimum(sizes, window) == n) & (sizes > 0))
+            if n and len(mine):
+                count = sizes[mine] - n + 1
+                starts = np.repeat(begin[mine] - np.concatenate([[0], count.cumsum()[:-1]]), count) + np.arange(count.sum())
+                self.groups.append(self._distinct(n, starts, np.repeat(own[mine], count)))
+        self.shortest = min((n for n, *_ in self.groups), default=0)
+
+    def _distinct(self, n: int, starts: np.ndarray, own: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        """(length, a place of each distinct window, where its owners begin, the owners) by ranks of doubled length."""
+        rank, step = self.codes, 1
+        while 2 * step <= n:
+            ahead = np.zeros_like(rank)
+            ahead[:-step] = rank[step:]
+            _, rank = np.unique(rank * (len(rank) + len(self.symbol) + 2) + ahead, return_inverse=True)
+            step *= 2
+        key = rank[starts] * (len(rank) + len(self.symbol) + 2) + rank[starts + n - step]
+        _, first, phrase = np.unique(key, return_index=True, return_inverse=True)
+        named = own >= 0
+        pairs = np.unique(phrase[named] * (len(self.ids) + 1) + own[named])
+        phrase = pairs // (len(self.ids) + 1)
+        return n, starts[first], np.searchsorted(phrase, np.arange(len(first) + 1)), pairs % (len(self.ids) + 1)
 
     def occurrences(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, list[int]]]:
         """(document, first word, number of words, items) of every window in the documents of a shard."""
@@ -172,18 +193,19 @@ class Phrases:
         place = np.repeat(begin - offset, length) + np.arange(length.sum())
         index = FMIndex(whole[place])
         starts = np.concatenate([[0], ends[:-1]])
-        for n, phrases, owners in self.groups:
-            low, high = index.search(phrases)
-            found = np.flatnonzero(high > low)
-            if not len(found):
-                continue
-            counts = (high - low)[found]
-            first = np.concatenate([[0], counts.cumsum()[:-1]])
-            rows = np.repeat(low[found] - first, counts) + np.arange(counts.sum())
-            at = place[index.locate(rows)]
-            doc = np.searchsorted(ends, at, side="right")
-            for p, d, a in zip(np.repeat(found, counts).tolist(), doc.tolist(), (at - starts[doc]).tolist()):
-                yield d, a, n, owners[p]
+        for n, windows, edges, owners in self.groups:
+            for some in range(0, len(windows), PHRASES):
+                low, high = index.search(self.codes[windows[some : some + PHRASES, None] + np.arange(n)])
+                found = np.flatnonzero(high > low)
+                if not len(found):
+                    continue
+                counts = (high - low)[found]
+                first = np.concatenate([[0], counts.cumsum()[:-1]])
+                rows = np.repeat(low[found] - first, counts) + np.arange(counts.sum())
+                at = place[index.locate(rows)]
+                doc = np.searchsorted(ends, at, side="right")
+                for p, d, a in zip((np.repeat(found, counts) + some).tolist(), doc.tolist(), (at - starts[doc]).tolist()):
+                    yield d, a, n, owners[edges[p] : edges[p + 1]].tolist()
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -247,7 +269,7 @@ def _search(df: DataFrame, column: str, block: list[tuple[object, bytes]], windo
                     places = [m.span() for m in WORD.finditer(raw.translate(FOLD))]
                     out = [dict(zip(HIT.names, (a, b, places[a][0], places[b - 1][1]))) for a, b in joined]
                 found.append(out)
-                names.append(sorted(str(phrases.ids[i]) for i in items.get(k, ())))
+                names.append([phrases.ids[i] for i in sorted(items.get(k, ()))])
             total = pa.array(counts[done : done + len(data)], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, total, pa.array(found, spans_type), pa.array(names, pa.list_(pa.string()))], names=schema.names
@@ -287,7 +309,8 @@ def find(documents: DataFrame, benchmark: DataFrame, column: str = "text", item:
     words and in bytes of the UTF-8 text, ``bench_items`` the ids of the items that have
     a window in the document, sorted as text. A window is ``window`` words of an item, or all
     words of an item that has fewer. Null and empty texts have no words and no spans; items
-    without words, or none at all, match nothing; items whose id is null are named "None".
+    without words, or none at all, match nothing. Rows of one item id are windows of one item. Items whose id is
+    null give spans, but no name.
     Repeated rows are searched each for itself. Columns of these names are replaced.
 
     A test set of more than one block is searched block by block; the result of each is

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custoria.llm.common import as_bytes, columns_of, components, map_batches, rows_of
+from custoria.llm.common import as_bytes, columns_of, components, gathered, map_batches, rows_of
 from custoria.session import materialize
 
 WORDS, BITS = 3, 2
@@ -202,6 +202,7 @@ def _split(rows: DataFrame, bits: int) -> DataFrame:
     """
     done, base, level = [], bits + 1, 0
     while base**level < 64:
+        rows = gathered(rows, rows.count())
         hot = materialize(rows.groupBy("meeting").agg(F.count("*").alias("n")).where(F.col("n") > MEETING).select("meeting"))
         if hot.isEmpty():
             break
@@ -302,6 +303,7 @@ def classes(df: DataFrame, id_column: str = "doc_id", column: str = "text", word
     """
     stored = materialize(fingerprints(df.select(F.col(id_column).alias("id"), F.col(column).alias("text")), "text", words).select("id", "simhash"))
     distinct = materialize(stored.groupBy("simhash").agg(F.min("id").alias("first")))
+    distinct = gathered(distinct, distinct.count())
     linked = components(links(distinct.select("simhash"), bits))
     of_print = distinct.join(linked.withColumnRenamed("node", "simhash"), "simhash", "left").select("simhash", "first", F.coalesce("component", "simhash").alias("class"))
     smallest = of_print.groupBy("class").agg(F.min("first").alias("component_id"))

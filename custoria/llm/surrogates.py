@@ -52,6 +52,7 @@ PATTERNS = {
 NEEDS = {"email": ("@",), "url_password": ("://",), "aws_key": ("AKIA", "ASIA"), "secret": ("=", ":")}
 DIGITS = {"iban": 8, "card": 13, "ip": 4, "ssn": 9, "phone": 9}
 WORD = re.compile(_WORD)
+NEXT = re.compile(rf"[^\S\n]({_WORD})")
 _DOTS = str.maketrans("İı", "ii")
 DIGIT = re.compile(r"\d")
 
@@ -97,6 +98,10 @@ def _people(text: str) -> Iterator[tuple[int, int, str, str]]:
             if not _capital(word):
                 break
             run.append((start, word))
+        if run and len(run) == len(words) and line < 0:
+            # a name may have any number of words; behind the third, a word in capitals ends it
+            while (more := NEXT.match(text, run[-1][0] + len(run[-1][1]))) and _capital(more[1]) and not (len(more[1]) > 1 and more[1].isupper()):
+                run.append((more.start(1), more[1]))
         first = run[0][1].lower() if run else ""
         gender = "m" if title in MALE or not title and first in GIVEN_MALE else "f" if title in FEMALE or not title and first in GIVEN_FEMALE else "n"
         known = first in GIVEN_MALE | GIVEN_FEMALE
@@ -104,14 +109,21 @@ def _people(text: str) -> Iterator[tuple[int, int, str, str]]:
             if gender == "n" and known:
                 gender = "m" if first in GIVEN_MALE else "f"
             given = len(run) > 1 or known
-            for k, (start, word) in enumerate(run[:3]):
-                yield start, start + len(word), f"given_{gender}" if given and k < max(1, len(run[:3]) - 1) else "family", word.casefold()
-            at = run[min(len(run), 3) - 1][0] + len(run[min(len(run), 3) - 1][1])
+            for k, (start, word) in enumerate(run):
+                yield start, start + len(word), f"given_{gender}" if given and k < max(1, len(run) - 1) else "family", word.casefold()
+            at = run[-1][0] + len(run[-1][1])
         else:
             # nobody: go on behind the first word, or behind the title
             at = found.end(1) if title else max(found.start() + 1, found.end(2) if found[2] else 0)
 
 
+def phone_name(value: str, digits: str) -> str:
+    """The digits, behind a plus if the number has a country code; that of North America, which is often left out, goes."""
+    if not value.startswith("+"):
+        return digits
+    return digits[1:] if len(digits) == 11 and digits[0] == "1" else "+" + digits
+
+
 class _Taken:
     """Spans without overlaps, in order."""
 
@@ -164,7 +176,7 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
             elif kind == "phone":
                 if not 9 <= len(plain) <= 15:
                     continue
-                name = plain[-10:]
+                name = phone_name(value, plain)
             elif kind == "ssn":
                 name = plain
             else:
@@ -277,12 +289,16 @@ def surrogate(key: bytes, kind: str, name: str, attempt: int = 0) -> str:
         return name[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[draw.below(32)] for _ in name[4:])
     if kind.startswith(("given", "family")):
         return draw.name(kind, name, more)
+    if kind == "phone" and name[0] == "+":  # the country code stays
+        kept = max(3, len(name) - 10)
+        return name[:kept] + draw.like(name[kept:])
     return draw.like(name) if kind == "phone" else draw.longer(name, more)
 
 
 def written(kind: str, mention: str, new: str) -> str:
     """The surrogate in the format of a mention: its separators, digits' script and case."""
     if kind in ("card", "phone", "ssn"):
+        new = new.lstrip("+")
         places = [k for k, c in enumerate(mention) if c.isdecimal()][-len(new) :]
         out = list(mention)
         for place, digit in zip(places, new):

@@ -260,3 +260,14 @@ def test_piece_stage(steps):
 def test_run_is_the_stages(spark, small, steps):
     got = corpus_pipeline.run(spark, small)
     assert got.exceptAll(steps[-1][2]).count() == 0 and got.count() == steps[-1][2].count()
+
+
+def test_names_of_any_length_and_country_codes(docs):
+    from custoria.llm import surrogates
+
+    texts = ["Mr. Juan Carlos Garcia Lopez Ramirez met us.", "Call +1 212-555-0147 or 212-555-0147 now", "Call +44 212-555-0147 now", "Dr. Anna Schmidt said: Garcia came"]
+    out = {r["doc_id"]: r["text"] for r in surrogates.replace(docs([(i, t) for i, t in enumerate(texts)]), b"k").select("doc_id", "text").collect()}
+    assert not any(name in out[0] for name in ("Juan", "Carlos", "Garcia", "Lopez", "Ramirez")) and out[0].endswith(" met us.")
+    one, two = re.findall(r"[\d-]{12}", out[1])
+    assert one == two and out[1].startswith("Call +1 ") and out[2].startswith("Call +44 ")
+    assert re.search(r"\d{3}-\d{3}-\d{4}", out[2])[0] not in (one, "212-555-0147")
