@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+from dataclasses import asdict, dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Spelling of the write modes.
 TABLE_MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
@@ -40,9 +46,57 @@ def write_jdbc(df: DataFrame, url: str, table: str, if_exists: str = "append", *
     ).save()
 
 
-def save_stage(tables: dict[str, DataFrame], root: str, stage: str) -> dict[str, DataFrame]:
-    """Store each table of a stage and continue from the stored form."""
-    return {name: write_parquet(df, f"{root}/{stage}/{name}") for name, df in tables.items()}
+MANIFEST = "manifest"
+
+
+@dataclass(frozen=True)
+class Manifest:
+    """What a finished stage consists of; it is written after all its tables."""
+
+    id: str
+    stage: str
+    inputs: list[str]  # the manifests that the stage was built from
+    parameters: dict[str, str]
+    rows: dict[str, int]
+
+
+def _removed(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def save_stage(
+    tables: dict[str, DataFrame], root: str, stage: str, inputs: list[str] = (), parameters: dict[str, str] | None = None
+) -> dict[str, DataFrame]:
+    """Store each table of a stage, then its manifest, and continue from the stored form.
+
+    An older manifest goes first, so a stage that breaks off in between is never taken for finished. Rows are
+    counted while they are written.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    _removed(spark, f"{root}/{stage}/{MANIFEST}")
+    stored, rows = {}, {}
+    for name, df in tables.items():
+        seen = Observation()
+        stored[name] = write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), f"{root}/{stage}/{name}")
+        rows[name] = seen.get["rows"]
+    record = Manifest(uuid.uuid4().hex, stage, list(inputs), dict(parameters or {}), rows)
+    line = spark.createDataFrame([(json.dumps(asdict(record)),)], "value string")
+    line.coalesce(1).write.text(f"{root}/{stage}/{MANIFEST}")
+    return stored
+
+
+def stage_manifest(spark: SparkSession, root: str, stage: str) -> Manifest | None:
+    """The manifest of a stage that was finished; None where there is none or a table has other rows than it says."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{stage}/{MANIFEST}/_SUCCESS")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    found = Manifest(**json.loads(spark.read.text(f"{root}/{stage}/{MANIFEST}").first()[0]))
+    try:
+        counted = {name: spark.read.parquet(f"{root}/{stage}/{name}").count() for name in found.rows}
+    except AnalysisException:  # a table is gone
+        return None
+    return found if counted == found.rows else None
 
 
 def load_stage(spark: SparkSession, root: str, stage: str, names: list[str]) -> dict[str, DataFrame]:

@@ -105,18 +105,50 @@ def test_stage_round_trip(spark, people):
     assert sorted(back.collect()) == sorted(people.collect())
 
 
-def test_stages_run_and_resume(spark, people):
+def test_stages_run_and_resume(spark, people, monkeypatch):
     sales = people.select(
         F.concat("customer_id", F.lit("-1")).alias("transaction_id"), "customer_id", F.col("registration_date").alias("transaction_date"),
         F.col("age").cast("double").alias("total_amount"),
     )
-    root = workspace(spark)
-    first = stages.run_stages({"customers": people, "transactions": sales}, AS_OF, root)
+    raw, root = {"customers": people, "transactions": sales}, workspace(spark)
+    first = stages.run_stages(raw, AS_OF, root)
+    assert list(first) == ["collected", "cleaned", "validated", "features", "explored", "prepared"]
     assert first["prepared"]["train"].count() + first["prepared"]["val"].count() + first["prepared"]["test"].count() == people.count()
     test_rows = sorted(first["prepared"]["test"].select("customer_id").collect())
-    # the resumed run replaces the stored stage, so the first one's rows are read before
-    again = stages.run_stages({"customers": people, "transactions": sales}, AS_OF, root, resume_from="prepared")
+    best = first["features"]["importance"].orderBy(F.desc("importance"), "feature").first()["feature"]
+    assert spark.read.option("header", True).csv(f"{root}/features/importance_csv").first()["feature"] == best
+    ids = {s: sinks.stage_manifest(spark, root, s).id for s in first}
+
+    # a stage that breaks midway is not taken for finished
+    explore = stages.explore
+    monkeypatch.setattr(stages, "explore", lambda master, label: {"overview": explore(master, label)["overview"], "broken": master.select(F.raise_error(F.lit("stop")).alias("x"))})
+    with pytest.raises(Exception, match="stop"):
+        stages.run_stages(raw, AS_OF, root, resume_from="explored")
+    assert sinks.stage_manifest(spark, root, "explored") is None
+    monkeypatch.setattr(stages, "explore", explore)
+    again = stages.run_stages(raw, AS_OF, root, resume_from="prepared")
     assert sorted(again["prepared"]["test"].select("customer_id").collect()) == test_rows
+    now = {s: sinks.stage_manifest(spark, root, s).id for s in first}
+    assert {s for s in first if now[s] != ids[s]} == {"explored", "prepared"}
+
+    # other parameters, and a table with other rows, lead to another run of what is built from them
+    sinks.write_parquet(first["validated"]["gate"].limit(0), f"{root}/validated/gate")
+    stages.run_stages(raw, AS_OF, root, resume_from="prepared", label="no_such_column")
+    last = {s: sinks.stage_manifest(spark, root, s).id for s in first}
+    assert {s for s in first if last[s] != now[s]} == {"validated", "features", "explored", "prepared"}
+    assert sinks.stage_manifest(spark, root, "prepared").rows == {"features": people.count()}
+
+
+def test_collection_checks_its_tables(spark, people):
+    with pytest.raises(ValueError, match="registration_date"):
+        stages.collect_all({"customers": people.drop("registration_date")})
+    twice = people.drop("churned").unionByName(people.drop("churned"))
+    got = stages.collect_all({"customers": twice})["customers"]
+    assert got.count() == people.count() and got.where("churned = 0").count() == people.count()
+    day = "timestamp_ntz'2024-01-01 00:00:00'"
+    sales = spark.sql(f"SELECT * FROM VALUES ('a', {day}, 5.0, 'completed'), ('a', {day}, 0.0, 'completed'), ('b', {day}, 5.0, 'failed'), (null, {day}, 5.0, 'completed') AS t(customer_id, transaction_date, total_amount, transaction_status)")
+    assert stages.collect_all({"transactions": sales})["transactions"].count() == 1
+    assert stages.collect_all({"transactions": sales}, ("2024-02-01", "2024-03-01"))["transactions"].count() == 0
 
 
 # ---------------------------------------------------------------- split, scaling, encoding
