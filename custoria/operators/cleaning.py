@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -130,6 +130,10 @@ def cap_upper(df: DataFrame, column: str, limit: float) -> DataFrame:
     return df.withColumn(column, F.when(F.col(column) > limit, F.lit(float(limit))).otherwise(F.col(column)))
 
 
+def _null_counts(df: DataFrame, columns: list[str]) -> list[Column]:
+    return [F.count_if(F.col(c).isNull()).alias(c) for c in columns if c in df.columns]
+
+
 def iqr_bounds(df: DataFrame, columns: list[str], factor: float) -> dict[str, tuple[float, float] | None]:
     quartiles = exact_quantiles(df, {c: [0.25, 0.75] for c in columns})
     out = {}
@@ -202,11 +206,63 @@ def verification_flags(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- compositions
 
 
-def clean_customers(df: DataFrame, as_of, deep_clean: bool = True) -> DataFrame:
+class Tally:
+    """Counts of what a cleaning run removes, fills and caps, taken while its rows pass.
+
+    Each ``watch`` puts an observation into the plan; the first action that runs through it fills it. So
+    nothing is worked out again for the report.
+    """
+
+    def __init__(self):
+        self.seen: list[tuple[Observation, list[tuple[str, str | None]]]] = []
+
+    def watch(self, df: DataFrame, counts: dict[tuple[str, str | None], Column]) -> DataFrame:
+        if not counts:
+            return df
+        seen = Observation()
+        self.seen.append((seen, list(counts)))
+        return df.observe(seen, *[c.alias(f"m{i}") for i, c in enumerate(counts.values())])
+
+    def counts(self) -> dict[tuple[str, str | None], int]:
+        """All counts of frames that an action has run through."""
+        return {what: seen.get[f"m{i}"] for seen, whats in self.seen for i, what in enumerate(whats)}
+
+
+class _NoTally(Tally):
+    def watch(self, df, counts):
+        return df
+
+
+NO_TALLY = _NoTally()
+
+
+def _records(stage: str) -> dict:
+    return {(stage, None): F.count(F.lit(1))}
+
+
+def _missing(df: DataFrame, columns) -> dict:
+    return {("missing_handled", c): F.count_if(F.col(c).isNull()) for c in columns if c in df.columns}
+
+
+def _capped(df: DataFrame, column: str, factor: float, tally: Tally) -> DataFrame:
+    """``cap_outliers_iqr`` with the capped rows counted; a null is neither inside nor outside the bounds."""
+    bounds = iqr_bounds(df, [column], factor)[column]
+    if bounds is None:
+        return df
+    df = tally.watch(df, {("outliers_capped", column): F.count_if(~F.col(column).between(*map(F.lit, bounds)))})
+    return clip_range(df.withColumn(column, F.col(column).cast("double")), column, *bounds)
+
+
+CUSTOMER_TYPES = {"customer_id": "string", "age": "double", "registration_date": "timestamp_ntz", "churned": "int"}
+
+
+def clean_customers(df: DataFrame, as_of, deep_clean: bool = True, tally: Tally = NO_TALLY) -> DataFrame:
     has = set(df.columns)
-    out = dedup_by_key(df, ["customer_id"])
-    out = fix_types(out, {"customer_id": "string", "age": "double", "registration_date": "timestamp_ntz", "churned": "int"})
+    out = dedup_by_key(tally.watch(df, _records("records_before")), ["customer_id"])
+    out = fix_types(out, CUSTOMER_TYPES)
+    out = tally.watch(out, _records("unique") | _missing(out, ["customer_id", "registration_date"]))
     out = drop_critical_nulls(out)
+    out = tally.watch(out, _missing(out, ["age", *K.CUSTOMER_TEXT_FILLS, *K.CUSTOMER_FLAG_FILLS]))
     if "age" in has:
         out = materialize(out)  # medians, quartiles and the result would each repeat the key shuffle
     if {"age", "customer_segment"} <= has:
@@ -215,13 +271,15 @@ def clean_customers(df: DataFrame, as_of, deep_clean: bool = True) -> DataFrame:
         out = out.fillna({"age": median})
     out = fill_constants(out, {c: "Unknown" for c in K.CUSTOMER_TEXT_FILLS} | {c: False for c in K.CUSTOMER_FLAG_FILLS})
     if "age" in has:
-        out = filter_age_range(out)
+        out = filter_age_range(tally.watch(out, {("rule_violations", "age"): F.count_if(invalid_age())}))
     if "registration_date" in has:
-        out = filter_future_dates(out, as_of)
+        future = is_true(F.col("registration_date") > instant(as_of))
+        out = filter_future_dates(tally.watch(out, {("rule_violations", "registration_date"): F.count_if(future)}), as_of)
+    out = tally.watch(out, _records("records_after"))
     if "churned" in has:
         out = clip_binary(out)
     if deep_clean and "age" in has:
-        out = cap_outliers_iqr(out, "age", K.AGE_IQR_FACTOR)
+        out = _capped(out, "age", K.AGE_IQR_FACTOR, tally)
     if "registration_date" in has:
         out = account_age(out, as_of)
     if "age" in has:
@@ -249,13 +307,15 @@ def valid_transactions(df: DataFrame, as_of, earliest: str) -> DataFrame:
 
 
 def clean_transactions(
-    df: DataFrame, as_of, deep_clean: bool = True, earliest: str = K.EARLIEST_TRANSACTION
+    df: DataFrame, as_of, deep_clean: bool = True, earliest: str = K.EARLIEST_TRANSACTION, tally: Tally = NO_TALLY
 ) -> DataFrame:
-    out = fix_types(dedup_by_key(df, ["transaction_id"]), TRANSACTION_TYPES)
-    out = fill_constants(valid_transactions(out, as_of, earliest), K.TRANSACTION_FILLS)
+    out = fix_types(dedup_by_key(tally.watch(df, _records("records_before")), ["transaction_id"]), TRANSACTION_TYPES)
+    out = valid_transactions(tally.watch(out, _records("unique")), as_of, earliest)
+    out = tally.watch(out, _records("records_after") | _missing(out, K.TRANSACTION_FILLS))
+    out = fill_constants(out, K.TRANSACTION_FILLS)
     if deep_clean and "total_amount" in df.columns:
         # the quartiles and every later reader would repeat the key shuffle
-        out = cap_outliers_iqr(materialize(out), "total_amount", K.AMOUNT_IQR_FACTOR)
+        out = _capped(materialize(out), "total_amount", K.AMOUNT_IQR_FACTOR, tally)
     return date_parts(out) if "transaction_date" in df.columns else out
 
 
@@ -266,125 +326,60 @@ def impute_satisfaction(df: DataFrame) -> DataFrame:
     return df if median is None else df.fillna({"satisfaction_score": median})
 
 
-def clean_interactions(df: DataFrame, deep_clean: bool = True) -> DataFrame:
-    out = fix_types(dedup_by_key(df, ["interaction_id"]), INTERACTION_TYPES)
+def clean_interactions(df: DataFrame, deep_clean: bool = True, tally: Tally = NO_TALLY) -> DataFrame:
+    out = fix_types(dedup_by_key(tally.watch(df, _records("records_before")), ["interaction_id"]), INTERACTION_TYPES)
+    out = tally.watch(out, _records("unique") | _records("records_after") | _missing(out, ["satisfaction_score"]))
     if "satisfaction_score" in df.columns:
         out = clip_range(impute_satisfaction(materialize(out)), "satisfaction_score", 1.0, 5.0)
     if deep_clean and "duration_seconds" in df.columns:
-        out = cap_upper(out, "duration_seconds", K.MAX_DURATION_SECONDS)
+        over = F.count_if(F.col("duration_seconds") > K.MAX_DURATION_SECONDS)
+        out = cap_upper(tally.watch(out, {("outliers_capped", "duration_seconds"): over}), "duration_seconds", K.MAX_DURATION_SECONDS)
     return business_hours(out) if "interaction_date" in df.columns else out
 
 
-def clean_marketing(df: DataFrame) -> DataFrame:
-    return enforce_consistency(dedup_by_key(df, ["campaign_id", "customer_id"]))
+def clean_marketing(df: DataFrame, tally: Tally = NO_TALLY) -> DataFrame:
+    unique = dedup_by_key(tally.watch(df, _records("records_before")), ["campaign_id", "customer_id"])
+    return enforce_consistency(tally.watch(unique, _records("unique") | _records("records_after")))
 
 
-def clean_generic(df: DataFrame) -> DataFrame:
-    return impute_global(materialize(dedup_rows(df)))
+def clean_generic(df: DataFrame, tally: Tally = NO_TALLY) -> DataFrame:
+    unique = dedup_rows(tally.watch(df, _records("records_before")))
+    filled = numeric_columns(df) + string_columns(df)
+    return impute_global(materialize(tally.watch(unique, _records("unique") | _records("records_after") | _missing(df, filled))))
 
 
 # ---------------------------------------------------------------- report
 
 REPORT_SCHEMA = "dataset string, metric string, column string, value bigint"
+ALWAYS = ("records_before", "records_after", "duplicates_removed")
 
 
-def _key_duplicates(df: DataFrame, key: list[str]) -> int:
-    """Rows above one per key."""
-    return df.groupBy(*key).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("v")).first()[0]
+def clean_dataset(name: str, df: DataFrame, as_of, deep_clean: bool = True, earliest: str = K.EARLIEST_TRANSACTION, tally: Tally = NO_TALLY) -> DataFrame:
+    """A dataset through the rules of its kind."""
+    rules = {
+        "customers": lambda: clean_customers(df, as_of, deep_clean, tally),
+        "transactions": lambda: clean_transactions(df, as_of, deep_clean, earliest, tally),
+        "interactions": lambda: clean_interactions(df, deep_clean, tally),
+        "marketing": lambda: clean_marketing(df, tally),
+    }
+    return rules.get(name, lambda: clean_generic(df, tally))()
 
 
-def cleaning_report(datasets: dict[str, DataFrame], as_of, earliest: str = K.EARLIEST_TRANSACTION) -> DataFrame:
-    """Long-form counts of what cleaning does: one conditional aggregate per dataset and stage."""
-    rows: list[tuple] = []
-    spark = next(iter(datasets.values())).sparkSession
+def clean_with_report(datasets: dict[str, DataFrame], as_of, earliest: str = K.EARLIEST_TRANSACTION) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The cleaned datasets, stored, and the long-form counts of what was removed, filled and capped on the way."""
+    cleaned, rows = {}, []
+    types = {"customers": CUSTOMER_TYPES, "transactions": TRANSACTION_TYPES, "interactions": INTERACTION_TYPES}
     for name, df in datasets.items():
-        rows += _DATASET_REPORTS.get(name, _report_generic)(name, df, as_of, earliest)
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
-
-
-def _report_rows(name, before, after, duplicates, nulls, extra) -> list[tuple]:
-    rows = [(name, "records_before", None, before), (name, "records_after", None, after), (name, "duplicates_removed", None, duplicates)]
-    rows += [(name, "missing_handled", c, n) for c, n in nulls.items() if n]
-    return rows + [(name, metric, c, n) for metric, c, n in extra if n]
-
-
-def _null_counts(df: DataFrame, columns: list[str]) -> list[Column]:
-    return [F.count_if(F.col(c).isNull()).alias(c) for c in columns if c in df.columns]
+        tally = Tally()
+        cleaned[name] = materialize(clean_dataset(name, df, as_of, True, earliest, tally))
+        seen = tally.counts()
+        seen["duplicates_removed", None] = seen["records_before", None] - seen.pop(("unique", None))
+        seen |= {("types_fixed", c): 1 for c in types.get(name, ()) if c in df.columns}
+        rows += [(name, metric, column, n) for (metric, column), n in seen.items() if n or metric in ALWAYS]
+    spark = next(iter(datasets.values())).sparkSession
+    return cleaned, spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
-def _outside(column: str, bounds) -> Column:
-    return F.count_if(~F.col(column).between(F.lit(bounds[0]), F.lit(bounds[1])))
-
-
-def _types(df, mapping) -> list[tuple]:
-    return [("types_fixed", c, 1) for c in mapping if c in df.columns]
-
-
-def _report_customers(name, df, as_of, _earliest) -> list[tuple]:
-    types = {"customer_id": "string", "age": "double", "registration_date": "timestamp_ntz", "churned": "int"}
-    unique = materialize(fix_types(dedup_by_key(df, ["customer_id"]), types))
-    fields = ["age", *K.CUSTOMER_TEXT_FILLS, *K.CUSTOMER_FLAG_FILLS]
-    critical = ["customer_id", "registration_date"]
-    known = unique.where(F.col("customer_id").isNotNull() & F.col("registration_date").isNotNull())
-    critical_counts = unique.agg(F.count("*").alias("n"), *_null_counts(unique, critical)).first().asDict()
-    filled = known.agg(F.count("*").alias("n"), *_null_counts(known, fields)).first().asDict()
-    ready = impute_group_median(known, "age", "customer_segment") if {"age", "customer_segment"} <= set(df.columns) else known
-    future = is_true(F.col("registration_date") > instant(as_of))
-    valid = ready.where(~invalid_age() & ~future)
-    bounds = iqr_bounds(valid, ["age"], K.AGE_IQR_FACTOR)["age"]
-    # a null is neither inside nor outside the bounds
-    counted = ready.agg(
-        F.count_if(invalid_age()).alias("invalid_age"),
-        F.count_if(~invalid_age() & future).alias("future_dates"),
-        F.count_if(~invalid_age() & ~future).alias("after"),
-        F.count_if(~invalid_age() & ~future & ~F.col("age").between(*map(F.lit, bounds or (0.0, 0.0)))).alias("capped"),
-    ).first()
-    before = df.count()
-    nulls = {c: critical_counts[c] for c in critical} | {c: filled[c] for c in fields if c in filled}
-    extra = [("outliers_capped", "age", counted["capped"] if bounds else 0), ("rule_violations", "age", counted["invalid_age"]),
-             ("rule_violations", "registration_date", counted["future_dates"])]
-    return _report_rows(name, before, counted["after"], before - critical_counts["n"], nulls, extra + _types(df, types))
-
-
-def _report_transactions(name, df, as_of, earliest) -> list[tuple]:
-    before = df.count()
-    unique = materialize(fix_types(dedup_by_key(df, ["transaction_id"]), TRANSACTION_TYPES))
-    valid = valid_transactions(unique, as_of, earliest)
-    bounds = iqr_bounds(valid, ["total_amount"], K.AMOUNT_IQR_FACTOR)["total_amount"]
-    capped = _outside("total_amount", bounds) if bounds else F.lit(0)
-    counted = valid.agg(F.count("*").alias("after"), capped.alias("capped"), *_null_counts(valid, list(K.TRANSACTION_FILLS))).first().asDict()
-    nulls = {c: counted[c] for c in K.TRANSACTION_FILLS if c in counted}
-    duplicates = before - unique.count()
-    extra = [("outliers_capped", "total_amount", counted["capped"])]
-    return _report_rows(name, before, counted["after"], duplicates, nulls, extra + _types(df, TRANSACTION_TYPES))
-
-
-def _report_interactions(name, df, as_of, _earliest) -> list[tuple]:
-    unique = fix_types(dedup_by_key(df, ["interaction_id"]), INTERACTION_TYPES)
-    over = F.count_if(F.col("duration_seconds") > K.MAX_DURATION_SECONDS)
-    counted = unique.agg(F.count("*").alias("after"), over.alias("capped"), *_null_counts(unique, ["satisfaction_score"])).first().asDict()
-    before = df.count()
-    extra = [("outliers_capped", "duration_seconds", counted["capped"])]
-    nulls = {"satisfaction_score": counted["satisfaction_score"]}
-    return _report_rows(name, before, counted["after"], before - counted["after"], nulls, extra + _types(df, INTERACTION_TYPES))
-
-
-def _report_marketing(name, df, as_of, _earliest) -> list[tuple]:
-    duplicates = _key_duplicates(df, ["campaign_id", "customer_id"])
-    before = df.count()
-    return _report_rows(name, before, before - duplicates, duplicates, {}, [])
-
-
-def _report_generic(name, df, as_of, _earliest) -> list[tuple]:
-    unique = dedup_rows(df)
-    fields = numeric_columns(df) + string_columns(df)
-    counted = unique.agg(F.count("*").alias("_after"), *_null_counts(unique, fields)).first().asDict()
-    before = df.count()
-    after = counted.pop("_after")
-    return _report_rows(name, before, after, before - after, counted, [])
-
-
-_DATASET_REPORTS = {
-    "customers": _report_customers, "transactions": _report_transactions,
-    "interactions": _report_interactions, "marketing": _report_marketing,
-}
+def cleaning_report(datasets: dict[str, DataFrame], as_of, earliest: str = K.EARLIEST_TRANSACTION) -> DataFrame:
+    """The counts of ``clean_with_report``."""
+    return clean_with_report(datasets, as_of, earliest)[1]

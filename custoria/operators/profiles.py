@@ -29,9 +29,17 @@ def value_frequencies(df: DataFrame, columns: list[str]) -> DataFrame:
     return long.groupBy("feature", "value").agg(F.count("*").alias("n"))
 
 
+def row_digest(df: DataFrame) -> list[Column]:
+    """Two 64-bit digests of a whole row that tell nulls apart by their column."""
+    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in df.columns])
+    cells = [F.col(f"`{c}`") for c in df.columns]
+    return [F.xxhash64(nulls, *cells).alias("_a"), F.xxhash64(F.lit("second"), nulls, *cells).alias("_b")]
+
+
 def duplicate_rows(df: DataFrame) -> int:
-    """Rows minus distinct rows."""
-    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+    """Rows minus distinct rows. Digests of 128 bits are shuffled, not the rows."""
+    digests = comparable(df)
+    counted = digests.select(*row_digest(digests)).groupBy("_a", "_b").agg(F.count("*").alias("_n"))
     return counted.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).first()[0]
 
 
@@ -137,3 +145,32 @@ def null_and_distinct_counts(df: DataFrame, columns: list[str]) -> dict[str, tup
         per_column = counted.groupBy("feature").agg(F.sum("n").alias("known"), F.count("*").alias("values"))
         out |= {r["feature"]: (r["known"], r["values"]) for r in per_column.collect()}
     return out
+
+
+# ---------------------------------------------------------------- sketches of distinct values
+
+#: Binary logarithm of a sketch's registers; the standard error of an estimate is about 1.04 / 2 ** (REGISTERS / 2), here 1.6 %.
+REGISTERS = 12
+
+
+def column_sketches(df: DataFrame, columns: list[str], registers: int = REGISTERS) -> DataFrame:
+    """(feature, known, sketch): non-null rows and a HyperLogLog sketch of each column's values, from one pass.
+
+    Every task holds one sketch per column and only these are shuffled. Store the rows with an increment of a
+    table and merge them with those of others by ``merged_sketches``.
+    """
+    plain = comparable(df.select(*[F.col(f"`{c}`") for c in columns]))
+    sketches = plain.agg(*[x for i, c in enumerate(columns) for x in (
+        F.count(F.col(f"`{c}`")).alias(f"n{i}"), F.hll_sketch_agg(F.col(f"`{c}`").cast("string"), F.lit(registers)).alias(f"s{i}"))])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("known"), F.col(f"s{i}").alias("sketch")) for i, c in enumerate(columns)])
+    return sketches.select(F.inline(rows))
+
+
+def merged_sketches(sketches: DataFrame) -> DataFrame:
+    """One row per feature from the sketches of several parts; the same as those of the whole."""
+    return sketches.groupBy("feature").agg(F.sum("known").alias("known"), F.hll_union_agg("sketch").alias("sketch"))
+
+
+def sketched_counts(sketches: DataFrame) -> dict[str, tuple[int, int]]:
+    """{feature: (non-null rows, estimated distinct values)}."""
+    return {r["feature"]: (r["known"], r["values"]) for r in sketches.select("feature", "known", F.hll_sketch_estimate("sketch").alias("values")).collect()}

@@ -4,6 +4,7 @@ row duplicates, distinct values and quartile bounds need further passes."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,9 @@ from custoria.functions.columns import (
     TEMPORAL, instant, is_true, numeric_columns, string_columns, temporal_columns,
 )
 from custoria.functions.quantiles import exact_quantiles
-from custoria.operators.profiles import duplicate_rows, measure, null_and_distinct_counts, numeric_moments
+from custoria.operators.profiles import (
+    column_sketches, duplicate_rows, measure, null_and_distinct_counts, numeric_moments, sketched_counts,
+)
 
 CHECK_SCHEMA = (
     "dataset string, check_name string, passed boolean, severity string, message string, value double, "
@@ -363,7 +366,19 @@ def _distinct_wanted(df: DataFrame, name: str, needs: set[str]) -> list[str]:
     return list(dict.fromkeys(wanted))
 
 
-def check_rows(df: DataFrame, dataset: str, as_of, checks: list[str] | None = None) -> list[tuple]:
+def _distinct_counts(df: DataFrame, dataset: str, needs: set[str], approximate: bool) -> dict:
+    """Known rows and distinct values; with ``approximate`` only those of primary keys are counted exactly."""
+    columns = _distinct_wanted(df, dataset, needs)
+    keys = [c for c in columns if not approximate or c in primary_keys(df, dataset)]
+    rest = [c for c in columns if c not in keys]
+    found = null_and_distinct_counts(df, keys) if keys else {}
+    if rest:
+        found |= sketched_counts(column_sketches(df, rest))
+    return {(kind, c): n for c, (filled, values) in found.items() for kind, n in (("filled", filled), ("distinct", values))}
+
+
+def check_rows(df: DataFrame, dataset: str, as_of, checks: list[str] | None = None, approximate: bool = False, parallelism: int = 4) -> list[tuple]:
+    """The results of the checks; passes that do not need each other run side by side."""
     chosen = [CHECKS[c] for c in checks or CHECKS]
     if not df.columns:
         subject = Subject(df, dataset, as_of, {"rows": 0})
@@ -372,23 +387,34 @@ def check_rows(df: DataFrame, dataset: str, as_of, checks: list[str] | None = No
     measures: dict = {"rows": F.count(F.lit(1))}
     for c in chosen:
         measures |= c.measures(df, as_of) if c.measures else {}
-    subject.seen = measure(df, measures)
-    distinct = _distinct_wanted(df, dataset, needs)
-    if distinct:
-        for c, (filled, values) in null_and_distinct_counts(df, distinct).items():
-            subject.seen |= {("filled", c): filled, ("distinct", c): values}
+
+    def moments() -> dict:
+        found = numeric_moments(df, numeric_columns(df), ("count", "std", "skewness"))
+        return {"moments": found} | (count_outliers(df, found) if "outliers" in needs else {})
+
+    passes = [lambda: measure(df, measures)]
+    if needs & {"keys", "foreign", "texts"}:
+        passes.append(lambda: _distinct_counts(df, dataset, needs, approximate))
     if "duplicates" in needs:
-        subject.seen["duplicates"] = duplicate_rows(df)
+        passes.append(lambda: {"duplicates": duplicate_rows(df)})
     if "moments" in needs:
-        subject.seen["moments"] = numeric_moments(df, numeric_columns(df), ("count", "std", "skewness"))
-    if "outliers" in needs:
-        subject.seen |= count_outliers(df, subject.seen["moments"])
+        passes.append(moments)
+    with ThreadPoolExecutor(parallelism) as pool:
+        for seen in pool.map(lambda run: run(), passes):
+            subject.seen |= seen
     return [row for c in chosen for row in c.judge(subject)]
 
 
-def validate(datasets: dict[str, DataFrame], as_of, checks: list[str] | None = None) -> DataFrame:
-    """One row per check result of every dataset."""
-    rows = [row for name, df in datasets.items() for row in check_rows(df, name, as_of, checks)]
+def validate(datasets: dict[str, DataFrame], as_of, checks: list[str] | None = None, approximate: bool = False, parallelism: int = 4) -> DataFrame:
+    """One row per check result of every dataset, ``parallelism`` datasets at a time.
+
+    With ``approximate`` the cardinalities of texts and foreign keys come from sketches with a standard error of 1.6 %.
+    """
+    def one(item: tuple[str, DataFrame]) -> list[tuple]:
+        return check_rows(item[1], item[0], as_of, checks, approximate, parallelism)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        rows = [row for found in pool.map(one, datasets.items()) for row in found]
     spark = next(iter(datasets.values())).sparkSession
     return spark.createDataFrame(rows, CHECK_SCHEMA)
 

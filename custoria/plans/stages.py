@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,13 +26,7 @@ BIN_COLUMNS = ["age_group", "lifetime_segment", "value_segment", "activity_statu
 
 def clean_all(datasets: dict[str, DataFrame], as_of, deep_clean: bool = True, earliest: str = K.EARLIEST_TRANSACTION) -> dict[str, DataFrame]:
     """Every dataset through the rules of its kind."""
-    rules = {
-        "customers": lambda df: C.clean_customers(df, as_of, deep_clean),
-        "transactions": lambda df: C.clean_transactions(df, as_of, deep_clean, earliest),
-        "interactions": lambda df: C.clean_interactions(df, deep_clean),
-        "marketing": C.clean_marketing,
-    }
-    return {name: rules.get(name, C.clean_generic)(df) for name, df in datasets.items()}
+    return {name: C.clean_dataset(name, df, as_of, deep_clean, earliest) for name, df in datasets.items()}
 
 
 def _with_engagement(df: DataFrame, bounded_rows: int) -> DataFrame:
@@ -105,13 +101,18 @@ def collect_all(raw: dict[str, DataFrame], date_range=None) -> dict[str, DataFra
     return out
 
 
-def explore(master: DataFrame, label: str = "churned") -> dict[str, DataFrame]:
-    """The reports of a feature table; those by class only where it has the label."""
-    out = {"overview": E.overview(master), "correlations": E.correlation_pairs(master), "categories": E.categorical_profile(master)}
-    if label not in master.columns:
-        return out | {"numbers": E.numeric_profile(master)}
-    by_class = {"target": E.target_distribution(master, label), "numbers": E.numeric_profile(master, target=label), "t_tests": E.t_tests(master, label)}
-    return out | by_class | {"chi_square": E.chi_square_tests(master, label), "histograms": E.histograms(master, label)}
+def explore(master: DataFrame, label: str = "churned", parallelism: int = 4) -> dict[str, DataFrame]:
+    """The reports of a feature table, worked out side by side; those by class only where it has the label."""
+    reports = {"overview": lambda: E.overview(master), "correlations": lambda: E.correlation_pairs(master), "categories": lambda: E.categorical_profile(master)}
+    if label in master.columns:
+        reports |= {
+            "target": lambda: E.target_distribution(master, label), "numbers": lambda: E.numeric_profile(master, target=label), "t_tests": lambda: E.t_tests(master, label),
+            "chi_square": lambda: E.chi_square_tests(master, label), "histograms": lambda: E.histograms(master, label),
+        }
+    else:
+        reports["numbers"] = lambda: E.numeric_profile(master)
+    with ThreadPoolExecutor(parallelism) as pool:
+        return dict(zip(reports, pool.map(lambda build: materialize(build()), reports.values())))
 
 
 def prepare(master: DataFrame, label: str = "churned", key: str = X.KEY) -> dict[str, DataFrame]:
@@ -144,13 +145,20 @@ def run_stages(
     }
     out: dict[str, dict[str, DataFrame]] = {}
 
+    def tables(stage):
+        return {name: df for name, df in out[stage].items() if name != "report"}
+
+    def cleaned():
+        datasets, report = C.clean_with_report(out["collected"], as_of, earliest)
+        return datasets | {"report": report}
+
     def validated():
-        checks = Q.validate(out["cleaned"], as_of)
+        checks = Q.validate(tables("cleaned"), as_of)
         summary = Q.validation_summary(checks)
         return {"checks": checks, "summary": summary, "gate": Q.validation_gate(summary)}
 
     def features():
-        master = materialize(master_features(out["cleaned"], as_of, interactions_as_of))
+        master = materialize(master_features(tables("cleaned"), as_of, interactions_as_of))
         if label not in master.columns:
             return {"master": master}
         importance = materialize(mutual_information(master, label))
@@ -158,7 +166,7 @@ def run_stages(
         return {"master": master, "importance": importance}
 
     builders = {
-        "collected": lambda: collect_all(raw, date_range), "cleaned": lambda: clean_all(out["collected"], as_of, earliest=earliest), "validated": validated,
+        "collected": lambda: collect_all(raw, date_range), "cleaned": cleaned, "validated": validated,
         "features": features, "explored": lambda: explore(out["features"]["master"], label), "prepared": lambda: prepare(out["features"]["master"], label),
     }
     ids: dict[str, str] = {}

@@ -87,3 +87,43 @@ def test_near_chunks_first_halve_the_visits(spark, monkeypatch):
             assert (r["neighbour"], r["neighbour_label"]) == (own[1], own[1] % 3)
         assert len(found) == 4 * len(points)
     assert total[max(total)] <= total[0] / 2
+
+
+def test_sketches_of_parts_equal_the_whole(spark):
+    from custoria.operators import profiles as PR
+
+    df = spark.range(20_000).select("id", (F.col("id") % 3000).cast("string").alias("text"), F.when(F.col("id") % 2 == 0, F.col("id") % 100 / 4).alias("x"), F.lit(None).cast("string").alias("none"))
+    whole = PR.column_sketches(df, df.columns)
+    halves = PR.column_sketches(df.where("id < 9000"), df.columns).unionByName(PR.column_sketches(df.where("id >= 9000"), df.columns))
+    got = PR.sketched_counts(PR.merged_sketches(halves))
+    assert got == PR.sketched_counts(PR.merged_sketches(whole)) == PR.sketched_counts(whole)
+    for c, (known, values) in PR.null_and_distinct_counts(df, df.columns).items():
+        assert got[c][0] == known and abs(got[c][1] - values) <= 0.05 * values
+
+
+def test_duplicate_rows_tell_nulls_apart(spark):
+    from custoria.operators.profiles import duplicate_rows
+
+    df = spark.createDataFrame([(1, None, 0.0), (None, 1, 0.0), (1, None, -0.0), (None, None, None), (None, None, None)], "a int, b int, c double")
+    assert duplicate_rows(df) == 2
+
+
+def test_approximate_checks_keep_keys_exact(spark):
+    from custoria.operators import validation as Q
+
+    df = spark.range(4000).select(F.concat(F.lit("c"), F.greatest(F.col("id"), F.lit(5)).cast("string")).alias("customer_id"), F.concat(F.lit("n"), "id").alias("name"))
+    exact, rough = ({r["check_name"]: r for r in Q.validate({"customers": df}, "2024-06-01", approximate=a).collect()} for a in (False, True))
+    assert exact.keys() == rough.keys() and rough["duplicate_primary_key_customer_id"]["value"] == 5
+    assert abs(rough["high_cardinality_name"]["value"] - 4000) <= 200
+
+
+def test_cleaning_is_counted_while_it_runs(spark):
+    from custoria.operators import cleaning as C
+
+    day = "timestamp_ntz'2024-01-01 00:00:00'"
+    rows = f"('a', {day}, 30.0), ('a', {day}, 30.0), ('b', null, 30.0), ('c', {day}, 130.0), ('d', {day}, null), ('e', {day}, 40.0), (null, {day}, 40.0)"
+    df = spark.sql(f"SELECT *, 'x' AS customer_segment FROM VALUES {rows} AS t(customer_id, registration_date, age)")
+    cleaned, report = C.clean_with_report({"customers": df}, "2024-06-01")
+    got = {(r["metric"], r["column"]): r["value"] for r in report.collect()}
+    assert got["records_before", None] == 7 and got["duplicates_removed", None] == 1 and got["records_after", None] == cleaned["customers"].count() == 3
+    assert got["missing_handled", "customer_id"] == got["missing_handled", "registration_date"] == got["missing_handled", "age"] == got["rule_violations", "age"] == 1
