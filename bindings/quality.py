@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings import views as V
-from bindings.cleaning import CLEAN_CUSTOMERS, CLEAN_INTERACTIONS, CLEAN_MARKETING
+from bindings.cleaning import CLEAN_CUSTOMERS, CLEAN_INTERACTIONS, CLEAN_LINES, CLEAN_MARKETING, EARLIEST
 from bindings.features import NUDGE, r4, rounded
 from bindings.registry import query
 from bindings.views import oracle
@@ -484,10 +484,16 @@ _RAW_CUSTOMERS = ["customer_id", "registration_date", "age", "gender", "state",
 _DERIVED = ["account_age_days", "account_age_months", "age_group", "fully_verified", "verification_level"]
 
 
-@query("eda_before_after", oracle("customers interactions marketing", " UNION ALL ".join([
+_MARKETING = ["campaign_id", "customer_id", "campaign_date", "campaign_type", "sent", "opened", "clicked", "converted", "cost"]
+_PARTS = ["transaction_year", "transaction_month", "transaction_day", "transaction_hour", "transaction_weekday", "is_weekend"]
+
+
+@query("eda_before_after", oracle("customers lines interactions marketing", " UNION ALL ".join([
     _before_after_sql("customers", "customers", "clean_customers", _RAW_CUSTOMERS, _RAW_CUSTOMERS + _DERIVED),
+    _before_after_sql("transactions", "lines", "clean_lines", COLUMNS["transactions"], COLUMNS["transactions"] + _PARTS),
     _before_after_sql("interactions", "interactions", "clean_interactions", COLUMNS["interactions"], COLUMNS["interactions"] + ["interaction_hour", "is_business_hours"]),
-]), **CLEAN_CUSTOMERS, **CLEAN_INTERACTIONS))
+    _before_after_sql("marketing", "marketing", "clean_marketing", _MARKETING, _MARKETING),
+]), **CLEAN_CUSTOMERS, **CLEAN_LINES, **CLEAN_INTERACTIONS, **CLEAN_MARKETING))
 def eda_before_after(spark, sf):
-    raw = {"customers": V.customers(spark, sf), "interactions": V.interactions(spark, sf)}
-    return E.before_after(raw, clean_all(raw, AS_OF))
+    raw = {"customers": V.customers(spark, sf), "transactions": V.lines(spark, sf), "interactions": V.interactions(spark, sf), "marketing": V.marketing(spark, sf)}
+    return E.before_after(raw, clean_all(raw, AS_OF, earliest=EARLIEST))
