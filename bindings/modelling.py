@@ -176,7 +176,10 @@ def cross_val_auc(spark, sf):
 @query("compare_models")
 def compare_models(spark, sf):
     train, test = train_test(spark, sf)
-    models = [D.fit_logistic(train, INPUTS, "customer_id"), D.fit_decision_tree(train, INPUTS, "customer_id")]
+    models = [
+        D.fit_logistic(train, INPUTS, "customer_id"), D.fit_decision_tree(train, INPUTS, "customer_id"),
+        D.train_naive_bayes(train, INPUTS, "customer_id"), D.fit_neighbours(train, INPUTS, "customer_id"),
+    ]
     return rounded(D.compare_models(models, test))
 
 

@@ -230,6 +230,9 @@ class FittedScaling:
             return [f"{column}_{v}" for v in self.params[column]["values"][1:]]
         if method == "hashing":
             return []
+        if method == "binary":
+            width = max(1, len(self.params[column]["values"]).bit_length())
+            return [f"{column}_{i}" for i in range(width)]
         return [column]
 
     def feature_names(self) -> list[str]:
@@ -254,9 +257,15 @@ class FittedScaling:
                     pairs += [F.lit(value), F.lit(float(mean))]
                 known = F.try_element_at(F.create_map(*pairs), F.col(c)) if pairs else F.lit(None).cast("double")
                 out = out.withColumn(c, F.coalesce(known, F.lit(float(means["prior"]))))
-            elif self.method_of(c) == "label":
-                codes = F.create_map(*[F.lit(x) for i, v in enumerate(self.params[c]["values"]) for x in (v, i)])
-                out = out.withColumn(c, F.try_element_at(codes, F.col(c)))
+            elif c in self.params and self.method_of(c) not in FITTERS:
+                # a position in sorted order; null and unseen values have none
+                known = [F.lit(x) for i, v in enumerate(self.params[c]["values"]) for x in (v, i)]
+                code = F.try_element_at(F.create_map(*known), F.col(c)) if known else F.lit(None).cast("int")
+                if self.method_of(c) == "binary":
+                    bits, code = self.output_columns(c), F.coalesce(code + 1, F.lit(0))
+                    out = out.withColumns({b: F.shiftright(code, len(bits) - 1 - i).bitwiseAND(F.lit(1)) for i, b in enumerate(bits)})
+                else:
+                    out = out.withColumn(c, code)
         if hashed:
             out = N.encode_hashing(out, hashed)
         return out.select(*[F.col(f"`{n}`") for n in self.feature_names() if n in out.columns])
@@ -311,11 +320,12 @@ def fit_auto(df: DataFrame, label: str | None = None, methods: dict[str, str] |
         columns = fitted.columns_of(feature_type)
         if method in FITTERS:
             fitted.params |= fit(df, columns, method)
-        elif method in ("onehot", "label") and columns:
-            fitted.params |= {c: {"values": v} for c, v in N.listed_values(df, columns).items()}
         elif method == "target":
             for c in columns:  # at most 50 categories each
                 means, prior = N.target_means(df.where(F.col(c).isNotNull()), c, label)
                 found = sorted(means.collect(), key=lambda r: r["_value"])
                 fitted.params[c] = {"prior": prior, "values": [r["_value"] for r in found], "means": [r["_encoding"] for r in found]}
+        elif method not in ("passthrough", "hashing") and columns:
+            # one-hot, binary and ordinal; any other name encodes by position, too
+            fitted.params |= {c: {"values": v} for c, v in N.listed_values(df, columns).items()}
     return fitted
