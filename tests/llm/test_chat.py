@@ -60,13 +60,10 @@ def random_forest(seed):
     return rows
 
 
-@pytest.mark.parametrize("best", [1, 2, None])
-@pytest.mark.parametrize("seed", range(2))
-@pytest.mark.parametrize("small_trees", [True, False])
-def test_paths_equal_a_walk(spark, monkeypatch, best, seed, small_trees):
-    if not small_trees:
-        monkeypatch.setattr(chat, "TREE", 5)
-    rows = random_forest(seed)
+@pytest.mark.parametrize("best, largest", [(1, 100), (2, 5), (None, 100)])
+def test_paths_equal_a_walk(spark, monkeypatch, best, largest):
+    monkeypatch.setattr(chat, "TREE", largest)  # larger trees are joined message by message
+    rows = random_forest(1)
     rows += [rows[3], (2, 0, None, "user", "another part", 0.5), (1, None, 0, "assistant", "no id", 9.0), (3, 5, 6, "user", "loop", 1.0), (3, 6, 5, "user", "loop", 1.0), (3, 7, 6, "user", "below", 1.0), (4, 1, 1, "assistant", "own parent", None)]
     found, want = read(chat.conversations(frame(spark, rows), best=best)), walk(rows, best)
     assert found.keys() == want.keys()
