@@ -116,7 +116,9 @@ def whiten(df: DataFrame, column: str = "embedding", components: int = 8, scale:
     grid = F.transform(named["text"], lambda c: F.floor(c.cast("double") * scale))
     usable = F.forall(named["text"], lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double") * scale) < F.lit(float(1 << 52))))
     usable = F.coalesce(usable, F.lit(False)) & (F.size(named["text"]) > 0)
-    kept = named.where(usable).select("row", F.col("text").alias("vector"), F.transform(grid, lambda c: c.cast("long") + offset).alias("x"))
+    # filters may move, so the grid itself is only worked out for usable rows
+    x = F.when(usable, F.transform(grid, lambda c: c.cast("long") + offset))
+    kept = named.where(usable).select("row", F.col("text").alias("vector"), x.alias("x"))
     size = kept.groupBy(F.size("x").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
     dim = size["size"] if size else 1
     kept = kept.where(F.size("x") == dim)
