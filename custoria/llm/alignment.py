@@ -367,7 +367,7 @@ def score(df: DataFrame, a_path: str, b_path: str, column: str = "text") -> Data
     shared = spark.sparkContext.broadcast((identity, best))
     answers = asked.join(totals, "code").select("place", "code", "total")
     docs = filled.where("block >= 0 AND codes IS NULL").drop("codes", "docs")
-    out = T.StructType([*named.schema.fields, *(T.StructField(n, T.StringType() if n == "groups" else T.LongType()) for n in ADDED)])
+    out = T.StructType([*(filled.schema[c] for c in named.columns), *(T.StructField(n, T.StringType() if n == "groups" else T.LongType()) for n in ADDED)])
 
     carried = named.columns
 

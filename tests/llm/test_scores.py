@@ -315,3 +315,14 @@ def test_index_locates_all_occurrences():
             for p, low, high in zip(phrases, *index.search(phrases)):
                 want = [k for k in range(len(text) - size + 1) if (text[k : k + size] == p).all()]
                 assert sorted(index.locate(np.arange(low, high)).tolist()) == want
+
+
+@pytest.mark.parametrize("block", [8 << 20, 60])
+def test_rows_of_one_item_are_one_item(spark, docs, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    monkeypatch.setattr(decontaminate, "PHRASES", 3)
+    words = [f"w{i}" for i in range(40)]
+    items = spark.createDataFrame([("x", " ".join(words[:13])), ("x", " ".join(words[:14])), ("y", "w20 w21"), (None, " ".join(words[25:38])), ("x", "w30")], "item_id string, text string")
+    found = decontaminate.find(docs([(1, " ".join(words)), (2, "w20 w22")]), items).orderBy("doc_id").collect()
+    assert [r["bench_items"] for r in found] == [["x", "y"], []]
+    assert [[(s["begin_word"], s["end_word"]) for s in r["bench_spans"]] for r in found] == [[(0, 14), (20, 22), (25, 38)], []]
