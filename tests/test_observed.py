@@ -32,3 +32,14 @@ def data(table):
 def test_rfe_cv_after_an_observation(table):
     chosen, ranking, scores = S.select_rfe_cv(table, "label", "id", COLUMNS, n_features=2, folds=2, trees=3)
     assert "a" in chosen and set(ranking) == set(COLUMNS) and [n for n, _ in scores] == [3, 2]
+
+
+def test_ensemble_vote_after_an_observation(table):
+    votes = S.select_ensemble_vote(table, "label", "id", COLUMNS, 1, trees=3, folds=2).collect()
+    assert [(r["feature"], r["votes"]) for r in votes] == [("a", 4)]
+
+
+def test_permutation_of_a_given_model_after_an_observation(table):
+    model = LogisticRegression().fit(S.assemble(table, COLUMNS, "label"))
+    got = S.permutation_importance(table, "label", "id", COLUMNS, model)
+    assert max(got, key=got.get) == "a"
