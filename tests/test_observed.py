@@ -43,3 +43,9 @@ def test_permutation_of_a_given_model_after_an_observation(table):
     model = LogisticRegression().fit(S.assemble(table, COLUMNS, "label"))
     got = S.permutation_importance(table, "label", "id", COLUMNS, model)
     assert max(got, key=got.get) == "a"
+
+
+def test_balance_cv_after_an_observation(table):
+    points = table.select("id", "label", F.array(*COLUMNS).alias("features"))
+    rows = B.balance_cv(points, ["undersample"], folds=2, trees=3).collect()
+    assert [r["best_method"] for r in rows] == ["undersample"] and 0.5 < rows[0]["auc_mean"] <= 1
