@@ -49,3 +49,18 @@ def test_balance_cv_after_an_observation(table):
     points = table.select("id", "label", F.array(*COLUMNS).alias("features"))
     rows = B.balance_cv(points, ["undersample"], folds=2, trees=3).collect()
     assert [r["best_method"] for r in rows] == ["undersample"] and 0.5 < rows[0]["auc_mean"] <= 1
+
+
+def test_logistic_after_an_observation(data):
+    trained = D.fit_logistic(data, COLUMNS, "id", tune=True, folds=2, strengths=[1.0], mixes=[])
+    assert len(trained.cv_scores) == 2 and min(trained.cv_scores) > 0.5
+    assert max(trained.importances(), key=lambda c: abs(trained.importances()[c])) == "a"
+
+
+def test_a_fitted_model_predicts_as_before_and_has_no_summary(spark, table):
+    rows = VectorAssembler(inputCols=COLUMNS, outputCol="features").transform(table)
+    whole = LogisticRegression().fit(rows)
+    alone = fitted(LogisticRegression(), rows)
+    assert whole.hasSummary and not alone.hasSummary
+    assert (alone.coefficients, alone.intercept) == (whole.coefficients, whole.intercept)
+    assert alone.transform(rows).select(vector_to_array("probability")[1]).count() == 120
