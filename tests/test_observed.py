@@ -57,6 +57,11 @@ def test_logistic_after_an_observation(data):
     assert max(trained.importances(), key=lambda c: abs(trained.importances()[c])) == "a"
 
 
+def test_naive_bayes_after_an_observation(data):
+    scores = [r["score"] for r in D.fit_naive_bayes(data, "id", folds=2).transform(data).select("score").collect()]
+    assert len(scores) == 120 and all(0 <= s <= 1 for s in scores)
+
+
 def test_calibration_after_an_observation(data):
     for build in (lambda: NaiveBayes(modelType="gaussian"), lambda: LogisticRegression(weightCol="weight")):
         scores = [r["score"] for r in D.calibrate_sigmoid(build, data, "id", 2).transform(data).select("score").collect()]
