@@ -68,6 +68,11 @@ def test_calibration_after_an_observation(data):
         assert len(scores) == 120 and all(0 <= s <= 1 for s in scores)
 
 
+def test_forest_after_an_observation(data):
+    trained = D.fit_random_forest(data, COLUMNS, "id", folds=2, trees=3, depth=3)
+    assert len(trained.cv_scores) == 2 and trained.metrics(data)["auc_roc"] > 0.8 and set(trained.importances()) == set(COLUMNS)
+
+
 def test_a_fitted_model_predicts_as_before_and_has_no_summary(spark, table):
     rows = VectorAssembler(inputCols=COLUMNS, outputCol="features").transform(table)
     whole = LogisticRegression().fit(rows)
