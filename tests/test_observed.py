@@ -73,6 +73,11 @@ def test_forest_after_an_observation(data):
     assert len(trained.cv_scores) == 2 and trained.metrics(data)["auc_roc"] > 0.8 and set(trained.importances()) == set(COLUMNS)
 
 
+def test_cross_validation_after_an_observation(data):
+    scores = D.cross_val_auc(lambda: LogisticRegression(weightCol="weight"), data, "id", 2)
+    assert len(scores) == 2 and min(scores) > 0.5
+
+
 def test_a_fitted_model_predicts_as_before_and_has_no_summary(spark, table):
     rows = VectorAssembler(inputCols=COLUMNS, outputCol="features").transform(table)
     whole = LogisticRegression().fit(rows)
