@@ -78,6 +78,13 @@ def test_cross_validation_after_an_observation(data):
     assert len(scores) == 2 and min(scores) > 0.5
 
 
+def test_comparison_after_an_observation(data):
+    svm = D.fit_linear_svm(data, COLUMNS, "id", cross_validate=False)
+    models = [D.fit_logistic(data, COLUMNS, "id", folds=2), svm, D.train_naive_bayes(data, COLUMNS, "id", folds=2)]
+    rows = D.compare_models(models, data).collect()
+    assert {r["model"] for r in rows} == {m.name for m in models} and [r["model"] for r in rows if r["cv_auc_mean"] is None] == [svm.name]
+
+
 def test_a_fitted_model_predicts_as_before_and_has_no_summary(spark, table):
     rows = VectorAssembler(inputCols=COLUMNS, outputCol="features").transform(table)
     whole = LogisticRegression().fit(rows)
