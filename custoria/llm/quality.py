@@ -103,7 +103,7 @@ def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", column: str
     """Counts over every document, the trusted ones among the labelled sample apart, and the threshold.
 
     The sample's ids are bounded, so they are broadcast and no text is shuffled; n-gram counts
-    combine in each task to one row per bucket and class. The threshold is the score between the
+    combine in each task to one row per bucket and come to the driver as three columns. The threshold is the score between the
     two classes of the sample that errs least, but never loses more than LOST of the
     trusted ones. Without trusted documents, or
     when no score tells the classes apart, nothing is rejected.
@@ -114,12 +114,10 @@ def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", column: str
     words = tagged.select(F.coalesce((F.col("_quality") == 1) & F.col("_counted"), F.lit(False)).alias("trusted"), _words("text").alias("w"))
     pairs = words.select("trusted", F.explode(F.arrays_zip(F.col("w").alias("a"), F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))).alias("b"))).alias("p")).select("trusted", F.xxhash64("p.a").alias("a"), F.when(F.col("p.b").isNotNull(), F.xxhash64("p.b")).alias("b"))
     grams = pairs.select("trusted", F.explode(F.array(F.col("a"), F.when(F.col("b").isNotNull(), F.xxhash64("a", "b")))).alias("g")).where("g IS NOT NULL")
-    counts = grams.groupBy("trusted", F.pmod("g", F.lit(buckets)).alias("bucket")).agg(F.count("*").alias("n")).collect()
+    counts = grams.groupBy(F.pmod("g", F.lit(buckets)).alias("bucket")).agg(F.count("*").alias("n"), F.count_if("trusted").alias("good")).toArrow()
     raw, good = [0] * buckets, [0] * buckets
-    for trusted, bucket, n in counts:
-        raw[bucket] += n
-        if trusted:
-            good[bucket] = n
+    for bucket, n, n_good in zip(*(column.to_pylist() for column in counts.columns)):
+        raw[bucket], good[bucket] = n, n_good
     if not sum(good):
         return Fitted([0.0], None)
     all_good, all_raw = sum(good) + SMOOTHING * buckets, sum(raw) + SMOOTHING * buckets
