@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from custoria.operators import balancing as B
 from custoria.operators import models as D
 from custoria.operators import selection as S
@@ -92,3 +93,12 @@ def test_a_fitted_model_predicts_as_before_and_has_no_summary(spark, table):
     assert whole.hasSummary and not alone.hasSummary
     assert (alone.coefficients, alone.intercept) == (whole.coefficients, whole.intercept)
     assert alone.transform(rows).select(vector_to_array("probability")[1]).count() == 120
+
+
+def test_naive_bayes_query_after_an_observation(spark, table, small):
+    rows = entry.queries()["fit_naive_bayes"](spark, small).collect()
+    kinds = {r["customer_id"]: set() for r in rows}
+    for r in rows:
+        kinds[r["customer_id"]].add(r["kind"])
+        assert 0 <= r["score"] <= 1 and r["prediction"] in (0, 1)
+    assert len(rows) == 3 * len(kinds) > 0 and all(k == {"gaussian", "bernoulli", "multinomial"} for k in kinds.values())
