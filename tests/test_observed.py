@@ -102,3 +102,9 @@ def test_naive_bayes_query_after_an_observation(spark, table, small):
         kinds[r["customer_id"]].add(r["kind"])
         assert 0 <= r["score"] <= 1 and r["prediction"] in (0, 1)
     assert len(rows) == 3 * len(kinds) > 0 and all(k == {"gaussian", "bernoulli", "multinomial"} for k in kinds.values())
+
+
+def test_cross_validation_query_after_an_observation(spark, table, small):
+    rows = sorted(entry.queries()["cross_val_auc"](spark, small).collect(), key=lambda r: r["fold"])
+    assert [r["fold"] for r in rows] == list(range(5)) and all(0 <= r["auc"] <= 1 for r in rows)
+    assert rows[0]["auc_mean"] == pytest.approx(sum(r["auc"] for r in rows) / 5, abs=1e-4)
