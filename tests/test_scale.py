@@ -2,12 +2,14 @@
 
 import hashlib
 import math
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from custoria.functions import ranking
+from custoria.operators import models as D
 from custoria.operators import neighbours as NN
 from custoria.operators.split import cut_classes
 
@@ -127,3 +129,21 @@ def test_cleaning_is_counted_while_it_runs(spark):
     got = {(r["metric"], r["column"]): r["value"] for r in report.collect()}
     assert got["records_before", None] == 7 and got["duplicates_removed", None] == 1 and got["records_after", None] == cleaned["customers"].count() == 3
     assert got["missing_handled", "customer_id"] == got["missing_handled", "registration_date"] == got["missing_handled", "age"] == got["rule_violations", "age"] == 1
+
+
+def test_forest_uses_several_tasks_and_ignores_how_rows_are_stored(spark, monkeypatch):
+    rows = [(i, i % 2, i % 2 + i % 7 / 4, float(i % 101)) for i in range(5000)]
+    plain = spark.createDataFrame(rows, "id long, label int, a double, b double")
+    one, many = (D.training_frame(t, ["a", "b"], "label", "id").cache() for t in (plain.coalesce(1), plain.repartition(7)))
+    placed = [D.spread(t, "id").select("id").rdd.glom().collect() for t in (one, many)]
+    assert placed[0] == placed[1] and len(placed[0]) == 2 and min(map(len, placed[0])) > 0
+    seen = []
+    monkeypatch.setattr(D, "fitted", lambda estimator, part: seen.append(part.rdd.getNumPartitions()) or estimator.fit(part))
+    D.fit_random_forest(one, ["a", "b"], "id", trees=2, depth=2, cross_validate=False)
+    assert seen == [2]
+
+
+def test_forest_statistics_fit_the_memory_of_small_executors():
+    conf = {"spark.driver.memory": "1800m"}
+    context = SimpleNamespace(getConf=lambda: conf, master="local[6]", defaultParallelism=6)
+    assert D._node_memory(SimpleNamespace(sparkContext=context)) == 75
