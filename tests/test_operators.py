@@ -273,6 +273,29 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, cell_rows, chunk):
     assert got == brute(points, 4)
 
 
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_queries_that_ask_many_chunks_are_not_shuffled_to_them(spark, monkeypatch, broadcast):
+    """Evenly spread points: copies of the queries for every chunk would fill the disks. Ties go to the smaller id, also across chunks."""
+    monkeypatch.setattr(NN, "CHUNK_ROWS", 16)
+    monkeypatch.setattr(NN, "FEW_NUMBERS", 0, raising=False)
+    rng, rest, ask = np.random.default_rng(4), [], NN._ask
+    monkeypatch.setattr(NN, "_ask", lambda *args: (rest.append(args[-1]), ask(*args))[1])
+    points = {f"p{i}": rng.integers(0, 3, 9).astype(float) if i % 2 else rng.normal(size=9) + 1 for i in range(500)}
+    df = spark.createDataFrame([(i, [float(v) for v in x], int(i[1:]) % 3) for i, x in points.items()], "id string, features array<double>, label int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        found = NN.nearest(df, df, 3, exclude_self=True, cell_rows=25, carry=["label"]).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    got = {}
+    for r in sorted(found, key=lambda r: (r["id"], r["rank"])):
+        assert r["neighbour_label"] == int(r["neighbour"][1:]) % 3
+        got.setdefault(r["id"], []).append(r["neighbour"])
+    assert got == brute(points, 3)
+    assert rest == [False]
+
+
 def test_fewer_candidates_than_neighbours(spark):
     df = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "id bigint, features array<double>")
     assert NN.nearest(df, df, 5, exclude_self=True).count() == 2
