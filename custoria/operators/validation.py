@@ -19,6 +19,7 @@ from custoria.functions.quantiles import exact_quantiles
 from custoria.operators.profiles import (
     column_sketches, duplicate_rows, measure, null_and_distinct_counts, numeric_moments, sketched_counts,
 )
+from custoria.session import shuffles_removed
 
 CHECK_SCHEMA = (
     "dataset string, check_name string, passed boolean, severity string, message string, value double, "
@@ -413,9 +414,9 @@ def validate(datasets: dict[str, DataFrame], as_of, checks: list[str] | None = N
     def one(item: tuple[str, DataFrame]) -> list[tuple]:
         return check_rows(item[1], item[0], as_of, checks, approximate, parallelism)
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        rows = [row for found in pool.map(one, datasets.items()) for row in found]
     spark = next(iter(datasets.values())).sparkSession
+    with shuffles_removed(spark), ThreadPoolExecutor(parallelism) as pool:
+        rows = [row for found in pool.map(one, datasets.items()) for row in found]
     return spark.createDataFrame(rows, CHECK_SCHEMA)
 
 

@@ -147,3 +147,16 @@ def test_forest_statistics_fit_the_memory_of_small_executors():
     conf = {"spark.driver.memory": "1800m"}
     context = SimpleNamespace(getConf=lambda: conf, master="local[6]", defaultParallelism=6)
     assert D._node_memory(SimpleNamespace(sparkContext=context)) == 75
+
+
+def test_checks_delete_their_shuffle_files_and_restore_the_setting(spark, monkeypatch):
+    """Else the files of every pass over a large table stay on disk until the driver collects its garbage."""
+    from custoria.operators import validation as Q
+
+    name, seen, counted = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [], Q.duplicate_rows
+    monkeypatch.setattr(Q, "duplicate_rows", lambda df: (seen.append(spark.conf.get(name)), counted(df))[1])
+    before = spark.conf.get(name)
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "customer_id bigint, gender string")
+    rows = {r["check_name"]: r["value"] for r in Q.validate({"customers": df}, "2024-01-01").collect()}
+    assert rows["duplicate_rows"] == 1 and rows["duplicate_primary_key_customer_id"] == 1
+    assert seen == ["true"] and spark.conf.get(name) == before
