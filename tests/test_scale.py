@@ -160,3 +160,19 @@ def test_checks_delete_their_shuffle_files_and_restore_the_setting(spark, monkey
     rows = {r["check_name"]: r["value"] for r in Q.validate({"customers": df}, "2024-01-01").collect()}
     assert rows["duplicate_rows"] == 1 and rows["duplicate_primary_key_customer_id"] == 1
     assert seen == ["true"] and spark.conf.get(name) == before
+
+
+def test_all_checks_join_their_datasets_once(spark, small, monkeypatch):
+    """Every pass of the checks over a joined dataset shuffled both tables again."""
+    from bindings import quality as BQ
+    from custoria.operators import validation as Q
+
+    plans, validate = {}, Q.validate
+
+    def spied(datasets, *args):
+        plans.update({n: df._jdf.queryExecution().optimizedPlan().toString() for n, df in datasets.items()})
+        return validate(datasets, *args)
+
+    monkeypatch.setattr(Q, "validate", spied)
+    assert {r["dataset"] for r in BQ.validation_summary_all(spark, small).collect()} == set(plans)
+    assert len(plans) == 4 and not any("Join" in p or "Aggregate" in p for p in plans.values())
