@@ -421,3 +421,32 @@ def test_knn_votes(clusters):
     out = NN.predict_knn(clusters, clusters, 5, exclude_self=True)
     joined = out.join(clusters, "id")
     assert M.classification_metrics(joined, "label", "prediction").first()["accuracy"] > 0.9
+
+
+def _most_at_a_time(monkeypatch, module, name):
+    """Wrap a function so that it says how many of its calls ran at a time."""
+    import threading
+    import time
+
+    plain, lock, state = getattr(module, name), threading.Lock(), {"now": 0, "most": 0}
+
+    def counted(*args, **kwargs):
+        with lock:
+            state["now"] += 1
+            state["most"] = max(state["most"], state["now"])
+        time.sleep(1)
+        try:
+            return plain(*args, **kwargs)
+        finally:
+            with lock:
+                state["now"] -= 1
+
+    monkeypatch.setattr(module, name, counted)
+    return state
+
+
+def test_methods_and_folds_are_balanced_side_by_side(clusters, monkeypatch):
+    state = _most_at_a_time(monkeypatch, B, "fitted")
+    out = {r["method"]: r for r in B.balance_cv(clusters, ["none", "undersample"], folds=3, trees=3).collect()}
+    assert set(out) == {"none", "undersample"} and all(0.5 < r["auc_mean"] <= 1 and r["best_method"] in out for r in out.values())
+    assert state["most"] > 1
