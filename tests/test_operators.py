@@ -423,6 +423,22 @@ def test_knn_votes(clusters):
     assert M.classification_metrics(joined, "label", "prediction").first()["accuracy"] > 0.9
 
 
+def test_candidates_of_logistic_models_are_scored_without_storing_them(spark, monkeypatch):
+    """The AUC of every candidate equals that of its models' own predictions, and only the last model is stored."""
+    rng, stored, fold = np.random.default_rng(5), [], D.without_summary
+    x = rng.normal(size=(120, 2))
+    y = (x[:, 0] + rng.normal(size=120) > 0).astype(int)
+    data = D.training_frame(spark.createDataFrame([(i, float(a), float(b), int(c)) for i, ((a, b), c) in enumerate(zip(x, y))], "id bigint, a double, b double, y int"), ["a", "b"], "y", "id")
+    estimator = D.logistic(rows=120)
+    grid = D.logistic_grid(estimator, 120, [0.01, 1.0], [0.5])
+    plain = D.hyperparameter_search(estimator, grid, data, "id", folds=3, fit=lambda e, rows: fold(e.fit(rows), spark))[2].collect()
+    monkeypatch.setattr("custoria.operators.fitting.without_summary", lambda m, s: (stored.append(m), fold(m, s))[1])
+    found = D.hyperparameter_search(estimator, grid, data, "id", folds=3)[2].collect()
+    assert len(found) == 6 and len(stored) == 1
+    for a, b in zip(plain, found):
+        assert a["parameters"] == b["parameters"] and abs(a["auc_mean"] - b["auc_mean"]) < 1e-12 and abs(a["auc_std"] - b["auc_std"]) < 1e-9
+
+
 def _most_at_a_time(monkeypatch, module, name):
     """Wrap a function so that it says how many of its calls ran at a time."""
     import threading
