@@ -466,3 +466,29 @@ def test_methods_and_folds_are_balanced_side_by_side(clusters, monkeypatch):
     out = {r["method"]: r for r in B.balance_cv(clusters, ["none", "undersample"], folds=3, trees=3).collect()}
     assert set(out) == {"none", "undersample"} and all(0.5 < r["auc_mean"] <= 1 and r["best_method"] in out for r in out.values())
     assert state["most"] > 1
+
+
+@pytest.fixture
+def asked_by_shuffle(monkeypatch):
+    """Tiny chunks, and whether queries were shuffled to all the chunks that they ask."""
+    rest, ask = [], NN._ask
+    for name, value in (("CHUNK_ROWS", 16), ("CELL_ROWS", 25), ("FEW_NUMBERS", 0)):
+        monkeypatch.setattr(NN, name, value, raising=False)
+    monkeypatch.setattr(NN.nearest, "__defaults__", (False, 25, ()))
+    monkeypatch.setattr(NN, "_ask", lambda *args: (rest.append(args[-1]), ask(*args))[1])
+    return rest
+
+
+def _even(spark, rows=300):
+    """Evenly spread rows of two classes, and their ids by distance."""
+    points = np.random.default_rng(6).normal(size=(rows, 9))
+    df = spark.createDataFrame([(i, [float(v) for v in x], int(i % 5 == 0)) for i, x in enumerate(points)], "id bigint, features array<double>, label int")
+    gap = np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1)) + np.diag([np.inf] * rows)
+    return df, np.argsort(gap, axis=1, kind="stable")
+
+
+def test_tomek_links_of_evenly_spread_rows_shuffle_no_copies(spark, asked_by_shuffle):
+    df, near = _even(spark)
+    left = {r["id"] for r in B.undersample_tomek(df).collect()}
+    linked = {i for i in range(300) if i % 5 and near[near[i, 0], 0] == i and near[i, 0] % 5 == 0}
+    assert left == set(range(300)) - linked and asked_by_shuffle == [False]
