@@ -492,3 +492,10 @@ def test_tomek_links_of_evenly_spread_rows_shuffle_no_copies(spark, asked_by_shu
     left = {r["id"] for r in B.undersample_tomek(df).collect()}
     linked = {i for i in range(300) if i % 5 and near[near[i, 0], 0] == i and near[i, 0] % 5 == 0}
     assert left == set(range(300)) - linked and asked_by_shuffle == [False]
+
+
+def test_edited_neighbours_of_evenly_spread_rows_shuffle_no_copies(spark, asked_by_shuffle):
+    df, near = _even(spark)
+    left = {r["id"] for r in B.undersample_enn(df).collect()}
+    mixed = {i for i in range(300) if i % 5 and any(j % 5 == 0 for j in near[i, :3])}
+    assert left == set(range(300)) - mixed and asked_by_shuffle == [False]
