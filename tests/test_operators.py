@@ -499,3 +499,10 @@ def test_edited_neighbours_of_evenly_spread_rows_shuffle_no_copies(spark, asked_
     left = {r["id"] for r in B.undersample_enn(df).collect()}
     mixed = {i for i in range(300) if i % 5 and any(j % 5 == 0 for j in near[i, :3])}
     assert left == set(range(300)) - mixed and asked_by_shuffle == [False]
+
+
+def test_combined_balancing_of_evenly_spread_rows_shuffles_no_copies(spark, asked_by_shuffle):
+    df, _ = _even(spark)
+    out = B.balance_combined(df).collect()
+    assert {r["label"] for r in out} == {0, 1} and 300 < len(out) <= 480
+    assert asked_by_shuffle[-1] is False  # the search over the grown rows; the few minority rows may be shuffled
